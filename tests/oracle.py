@@ -1,0 +1,54 @@
+"""Compare a registered query with its SQL run by DuckDB on the same files."""
+
+from __future__ import annotations
+
+import datetime as dt
+import decimal
+import math
+from typing import Any
+
+TABLES = (
+    "region nation customer supplier part orders lineitem events "
+    "documents embeddings pages benchmark labels conversations"
+).split()
+
+
+def connect(sf_dir: str) -> Any:
+    import duckdb
+
+    con = duckdb.connect()
+    for table in TABLES:
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{sf_dir}/{table}.parquet')")
+    return con
+
+
+def _plain(value: Any) -> Any:
+    if isinstance(value, decimal.Decimal):
+        value = float(value)
+    if isinstance(value, float):
+        return "nan" if math.isnan(value) else float(f"{value:.12g}")
+    if isinstance(value, dt.datetime):
+        return value.isoformat()
+    return value
+
+
+def _sorted(rows: list, names: list[str]) -> list[tuple]:
+    order = sorted(range(len(names)), key=names.__getitem__)
+    return sorted((tuple(_plain(row[i]) for i in order) for row in rows), key=repr)
+
+
+def difference(frame: Any, con: Any, sql: str) -> str | None:
+    """None when columns, row count and values agree, else what does not."""
+    relation = con.execute(sql)
+    names = [d[0] for d in relation.description]
+    expected = relation.fetchall()
+    got = frame.collect()
+    if sorted(frame.columns) != sorted(names):
+        return f"columns {sorted(frame.columns)} != {sorted(names)}"
+    if len(got) != len(expected):
+        return f"rows {len(got)} != {len(expected)}"
+    ours, theirs = _sorted(got, frame.columns), _sorted(expected, names)
+    for a, b in zip(ours, theirs, strict=True):
+        if a != b:
+            return f"first difference: {a} != {b}"
+    return None
