@@ -11,6 +11,7 @@ from rowforge.functions.dates import (
     weekday_name,
 )
 from rowforge.functions.fingerprints import fingerprint
+from rowforge.functions.numbers import parse_integer
 from rowforge.functions.units import LENGTH_FACTORS, convert_unit, is_at_least
 
 __all__ = [
@@ -26,6 +27,7 @@ __all__ = [
     "month_end",
     "month_name",
     "parse_date",
+    "parse_integer",
     "starts_with_any",
     "weekday_name",
 ]

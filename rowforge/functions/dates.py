@@ -7,6 +7,7 @@ a bad value, and nothing depends on the session time zone or on the clock.
 from __future__ import annotations
 
 import datetime as dt
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column
@@ -14,8 +15,9 @@ from pyspark.sql import functions as F
 
 from rowforge.functions.conditions import decode_value
 
-# Date spellings tried in this order.
-DATE_FORMATS = ("yyyy-MM-dd", "yyyy MM dd", "yyyy MMM dd")
+# Date spellings tried in this order. One-letter months and days
+# also read two digits.
+DATE_FORMATS = ("yyyy-M-d", "yyyy M d", "yyyy MMM d")
 
 # Month code to name.
 MONTH_NAMES = {
@@ -43,13 +45,35 @@ def _col(col: str | Column) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
+# What a run of pattern letters can match; other letters match anything.
+_SHAPES = {
+    "yyyy": "[0-9]{4}",
+    "MMM": "[A-Za-z]{3}",
+    "MM": "[0-9]{2}",
+    "M": "[0-9]{1,2}",
+    "dd": "[0-9]{2}",
+    "d": "[0-9]{1,2}",
+}
+
+
+def _shape(fmt: str) -> str:
+    runs = re.findall(r"([A-Za-z])(\1*)|([^A-Za-z]+)", fmt)
+    parts = [re.escape(other) if other else _SHAPES.get(a + more, ".+") for a, more, other in runs]
+    return "^" + "".join(parts) + "$"
+
+
 def parse_date(
     col: str | Column,
     formats: Sequence[str] = DATE_FORMATS,
     default: dt.date | None = None,
 ) -> Column:
-    """Date from text, by the first format that fits; ``default`` when none does."""
-    attempts = [F.try_to_date(_col(col), fmt) for fmt in formats]
+    """Date from text, by the first format that fits; ``default`` when none does.
+
+    A format is tried only on text of its shape, as every failed attempt costs
+    an exception.
+    """
+    text = _col(col)
+    attempts = [F.when(text.rlike(_shape(fmt)), F.try_to_date(text, fmt)) for fmt in formats]
     if default is not None:
         attempts.append(F.lit(default))
     return F.coalesce(*attempts)

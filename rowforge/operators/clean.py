@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rowforge.functions.dates import DEFAULT_DATE, parse_date
+from rowforge.functions.numbers import INTEGER_TYPES, parse_integer
 
 
 def clean(
@@ -46,14 +47,20 @@ def replace_pattern(df: DataFrame, col: str, pattern: str, replacement: str = ""
 
 def cast_columns(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
     """Cast columns; a value that does not fit its new type becomes null."""
-    return df.withColumns({c: F.col(c).try_cast(t) for c, t in types.items()})
+    text = {name for name, kind in df.dtypes if kind == "string"}
+    return df.withColumns(
+        {
+            c: parse_integer(F.trim(c), t) if c in text and t in INTEGER_TYPES else F.col(c).try_cast(t)
+            for c, t in types.items()
+        }
+    )
 
 
 def dates_after(
     df: DataFrame,
     col: str,
     after: dt.date,
-    formats: Sequence[str] = ("yyyy-MM-dd",),
+    formats: Sequence[str] = ("yyyy-M-d",),
     default: dt.date = DEFAULT_DATE,
 ) -> DataFrame:
     """Rows whose text date is strictly after ``after``; unreadable text counts as ``default``."""

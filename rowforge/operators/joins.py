@@ -198,9 +198,7 @@ def array_membership_join(
     pairs = salted_join(members, keyed, ["member"], salts=salts).drop("member")
     if how == "inner":
         return pairs
-    known = members.select(*left_id, "member").join(
-        keyed.select("member").distinct(), "member", "left_semi"
-    )
+    known = members.select(*left_id, "member").join(keyed.select("member"), "member", "left_semi")
     alone = left.join(known.select(*left_id).distinct(), list(left_id), "left_anti")
     blanks = {c.name: F.lit(None).cast(c.dataType) for c in right.schema}
     return pairs.unionByName(alone.withColumns(blanks).select(*pairs.columns))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from rowforge.functions.numbers import parse_integer
+
 # What separates words, and how many top words are ranked.
 WORD_SEPARATOR = r"\W+"
 TOP_WORDS = 20
@@ -13,7 +15,7 @@ TOP_WORDS = 20
 def words(df: DataFrame, text: str, word: str = "word") -> DataFrame:
     """One row per lower-cased word; empty tokens and integers are left out."""
     tokens = df.select(F.explode(F.split(F.lower(F.col(text)), WORD_SEPARATOR)).alias(word))
-    return tokens.where((F.col(word) != "") & F.col(word).try_cast("int").isNull())
+    return tokens.where((F.col(word) != "") & parse_integer(word).isNull())
 
 
 def word_counts(df: DataFrame, text: str, word: str = "word", count: str = "cnt") -> DataFrame:

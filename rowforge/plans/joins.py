@@ -161,9 +161,7 @@ def vocabulary_matches(t: Table) -> DataFrame:
 )
 def array_membership_keep_empty(t: Table) -> DataFrame:
     documents, vocabulary = _documents_and_vocabulary(t)
-    pairs = array_membership_join(
-        documents, vocabulary, "words", "word", "left", left_id=["doc_id"], salts=4
-    )
+    pairs = array_membership_join(documents, vocabulary, "words", "word", "left", left_id=["doc_id"])
     filled = pairs.na.fill({"word": "-", "cnt": 0})
     return filled.groupBy("doc_id").agg(
         F.min("word").alias("first_word"), F.sum("cnt").alias("weight")

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 
 FORMATS = ("parquet",)
 MODES = ("append", "overwrite")
+OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
 
 
 def insert_table(
@@ -42,7 +43,13 @@ def insert_table(
     if partition_cols:
         df = df.hint("rebalance", *partition_cols)
     writer = df.write.format(fmt).mode(mode)
-    if exists:
-        writer.option("partitionOverwriteMode", "dynamic").insertInto(table, overwrite=mode == "overwrite")
-    else:
+    if not exists:
         writer.partitionBy(*partition_cols).saveAsTable(table)
+        return
+    # An insert takes this mode from the session only, not from the writer.
+    before = spark.conf.get(OVERWRITE_MODE)
+    spark.conf.set(OVERWRITE_MODE, "dynamic")
+    try:
+        writer.insertInto(table, overwrite=mode == "overwrite")
+    finally:
+        spark.conf.set(OVERWRITE_MODE, before)

@@ -7,10 +7,12 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from typing import Any
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from rowforge.functions.numbers import INTEGER_TYPES, parse_integer
+
 # Stand-ins for an unreadable field.
 TEXT_DEFAULT = "na"
 NUMBER_DEFAULT = -1
@@ -39,15 +41,14 @@ def parse_delimited(
     trimmed = F.regexp_replace(F.col(col), f"(?:{re.escape(sep)})+$", "")
     parts = lines.select(F.split(trimmed, re.escape(sep), -1).alias("parts"))
     kept = parts.where(F.get("parts", F.lit(0)) != "")
-    return kept.select(
-        *(
-            F.coalesce(
-                F.get("parts", F.lit(i)).try_cast(field.type),
-                F.lit(field.default).cast(field.type),
-            ).alias(field.name)
-            for i, field in enumerate(fields)
-        )
-    )
+
+    def typed(i: int, field: TextField) -> Column:
+        text = F.get("parts", F.lit(i))
+        whole = field.type in INTEGER_TYPES
+        value = parse_integer(text, field.type) if whole else text.try_cast(field.type)
+        return F.coalesce(value, F.lit(field.default).cast(field.type)).alias(field.name)
+
+    return kept.select(*(typed(i, field) for i, field in enumerate(fields)))
 
 
 def parse_json_lines(
