@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 SALT = "join_salt"
 CELL = "band_cell"
 HOT = "hot_key"
+MEMBER = "array_member"
 # Fixed value: number of salts when the caller gives none.
 SALTS = 20
 
@@ -193,12 +194,12 @@ def array_membership_join(
     if how == "left" and not left_id:
         raise ValueError("left_id must name the columns identifying a left row")
     _disjoint(left, right, [])
-    keyed = right.withColumn("member", F.col(key))
-    members = left.withColumn("member", F.explode(F.array_distinct(array_col)))
-    pairs = salted_join(members, keyed, ["member"], salts=salts).drop("member")
+    keyed = right.withColumn(MEMBER, F.col(key))
+    members = left.withColumn(MEMBER, F.explode(F.array_distinct(array_col)))
+    pairs = salted_join(members, keyed, [MEMBER], salts=salts).drop(MEMBER)
     if how == "inner":
         return pairs
-    known = members.select(*left_id, "member").join(keyed.select("member"), "member", "left_semi")
+    known = members.select(*left_id, MEMBER).join(keyed.select(MEMBER), MEMBER, "left_semi")
     alone = left.join(known.select(*left_id).distinct(), list(left_id), "left_anti")
     blanks = {c.name: F.lit(None).cast(c.dataType) for c in right.schema}
     return pairs.unionByName(alone.withColumns(blanks).select(*pairs.columns))

@@ -17,14 +17,16 @@ def add_constants(df: DataFrame, values: Mapping[str, Any]) -> DataFrame:
 
 
 def co_partition(
-    left: DataFrame, right: DataFrame, on: Sequence[str], partitions: int
+    left: DataFrame, right: DataFrame, on: Sequence[str], partitions: int | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """Hash both sides by the join key, so joins on that key share one exchange.
 
     Worth it when several joins or aggregates use the same key; a single join
-    arranges this by itself.
+    arranges this by itself. Spark does not split skewed partitions of an
+    exchange asked for by name, so a key with hot values wants ``salted_join``.
     """
-    return left.repartition(partitions, *on), right.repartition(partitions, *on)
+    count = [] if partitions is None else [partitions]
+    return left.repartition(*count, *on), right.repartition(*count, *on)
 
 
 def partition_balance(df: DataFrame) -> DataFrame:

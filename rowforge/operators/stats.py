@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 from typing import Any
 
 from pyspark.sql import Column, DataFrame
@@ -79,31 +80,46 @@ class ExtremeOf:
 def extreme_groups(df: DataFrame, value: str, wanted: Sequence[ExtremeOf]) -> DataFrame:
     """The group with the greatest (least) value, one row per ``wanted`` entry.
 
-    The highest of the group maxima is the highest value overall, so all
-    entries come out of one global aggregate: one scan, no grouping shuffle.
-    Ties go to the least key and location; null values do not take part.
+    The highest of the group maxima is the highest value overall, so no groups
+    are formed. A pass over ``value`` alone finds the extremes; each then
+    filters a scan, which skips all files and row groups that cannot hold it,
+    and decides between the few rows left: the least key and location wins.
+    Null values do not take part.
     """
     if not wanted:
         raise ValueError("wanted must not be empty")
-    known = F.col(value).isNotNull()
+    # The two subqueries differ by a filter: Spark merges equal ones into a
+    # struct, and a comparison with a struct's field does not reach the scan.
+    ends = {
+        "max": df.agg(F.max(value)),
+        "min": df.where(F.col(value).isNotNull()).agg(F.min(value)),
+    }
+    found = []
+    for extreme, end in ends.items():
+        entries = [entry for entry in wanted if entry.extreme == extreme]
+        if entries:
+            reaching = df.where(F.col(value) == end.scalar())
+            found.append(_least_groups(reaching, value, entries))
+    return reduce(DataFrame.unionByName, found)
+
+
+def _least_groups(df: DataFrame, value: str, entries: Sequence[ExtremeOf]) -> DataFrame:
+    """The least key and location of each entry, from rows that all hold the same value."""
     picks, rows = [], []
-    for i, entry in enumerate(wanted):
-        rank = F.col(value) if entry.extreme == "min" else -F.col(value)
+    for i, entry in enumerate(entries):
         group = F.struct(
-            rank.alias("rank"),
             F.col(entry.key).cast("string").alias("name"),
             F.col(entry.location).cast("string").alias("location"),
-            F.col(value).alias("value"),
         )
-        picks.append(F.min(F.when(known, group)).alias(f"pick{i}"))
+        picks.append(F.min(group).alias(f"group{i}"))
         rows.append(
             F.struct(
-                F.col(f"pick{i}.name").alias("name"),
+                F.col(f"group{i}.name").alias("name"),
                 F.lit(entry.kind).alias("stats_type"),
-                F.col(f"pick{i}.location").alias("location"),
-                F.col(f"pick{i}.value").alias("value"),
+                F.col(f"group{i}.location").alias("location"),
+                F.col("value"),
                 F.lit(entry.extreme).alias("value_type"),
             )
         )
-    found = df.agg(*picks).select(F.inline(F.array(*rows)))
-    return found.where(F.col("value").isNotNull())
+    least = df.agg(F.first(value).alias("value"), *picks).where(F.col("value").isNotNull())
+    return least.select(F.inline(F.array(*rows)))

@@ -158,6 +158,18 @@ def fill_and_drop(t: Table) -> DataFrame:
     )
 
 
+@query(
+    """
+    SELECT c_custkey, balance FROM (
+        SELECT c_custkey, CASE WHEN c_acctbal >= 0 THEN c_acctbal END AS balance FROM customer)
+    WHERE coalesce(balance, 0) > 15
+    """
+)
+def null_as_zero_filter(t: Table) -> DataFrame:
+    balance = F.when(F.col("c_acctbal") >= 0, F.col("c_acctbal")).alias("balance")
+    return t("customer").select("c_custkey", balance).where(F.coalesce("balance", F.lit(0.0)) > 15)
+
+
 @query(
     """
     SELECT event_id,

@@ -102,8 +102,7 @@ def join_using(t: Table) -> DataFrame:
 def co_partitioned_join(t: Table) -> DataFrame:
     orders = t("orders").select(F.col("o_orderkey").alias("orderkey"), "o_orderpriority")
     lines = t("lineitem").select(F.col("l_orderkey").alias("orderkey"), "l_quantity")
-    partitions = int(orders.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    orders, lines = co_partition(orders, lines, ["orderkey"], partitions)
+    orders, lines = co_partition(orders, lines, ["orderkey"])
     return (
         orders.join(lines, ["orderkey"])
         .groupBy("o_orderpriority")

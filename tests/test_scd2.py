@@ -323,3 +323,17 @@ def test_small_increment_leaves_the_mart_unshuffled(spark, plan_of, tmp_path, te
     # Only the increment is exchanged by key.
     assert all("end_date" not in line for line in plan.splitlines() if "hashpartitioning" in line)
     assert rows(merged) == sorted(HISTORY + KEPT + CLOSED + OPENED, key=repr)
+
+
+def test_bucketed_mart_is_joined_where_it_lies(spark, plan_of, text_mart, text_increment):
+    text_mart.write.mode("overwrite").bucketBy(16, "id").sortBy("id").saveAsTable("bucketed_mart")
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        merged = scd2_merge(spark.table("bucketed_mart"), text_increment, TEXT, AS_OF)
+        # The mart's scan comes first below the join, with no exchange above it.
+        above, below = plan_of(merged).split("SortMergeJoin")
+        assert "Bucketed: true" in below.split("Exchange")[0]
+        assert rows(merged) == sorted(HISTORY + KEPT + CLOSED + OPENED, key=repr)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
