@@ -117,11 +117,12 @@ def band_join(
 ) -> DataFrame:
     """Join rows with equal ``on`` columns and ``abs(left_band - right_band) <= width``.
 
-    The band is cut into cells two widths wide. A left row lies in one cell; a
-    right row is repeated for the one to three cells its partners can lie in.
+    The band is cut into cells four widths wide. A left row lies in one cell; a
+    right row is repeated for the one or two cells its partners can lie in.
     Joining on key and cell compares near neighbours only, not all pairs of a
-    key. Cells wider than the band leave room for floating-point rounding; the
-    exact test is the residual condition.
+    key. A reach wider than the band leaves room for floating-point rounding;
+    the exact test is the residual condition. Where every key has few rows, a
+    plain join with the band as a condition is cheaper.
     """
     if how not in _ONE_SIDED:
         raise ValueError(f"how must be one of {_ONE_SIDED}")
@@ -133,7 +134,7 @@ def band_join(
         celled = left.withColumn(CELL, F.col(left_band).cast("double"))
         repeated = right.withColumn(CELL, F.col(right_band).cast("double"))
     else:
-        cell, reach = 2 * width, 1.25 * width
+        cell, reach = 4 * width, 1.25 * width
         centre = F.col(right_band)
         celled = left.withColumn(CELL, F.floor(F.col(left_band) / F.lit(cell)))
         cells = F.sequence(

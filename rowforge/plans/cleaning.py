@@ -20,7 +20,7 @@ from rowforge.operators import (
     read_quality,
     replace_pattern,
 )
-from rowforge.plans.registry import Table, query
+from rowforge.plans.registry import Table, epoch_seconds, query
 from rowforge.sources import TextField, parse_delimited, parse_json_lines
 
 # Order dates written in three known spellings and an unknown one, by priority.
@@ -195,7 +195,7 @@ def json_lines(t: Table) -> DataFrame:
 # Event rows written as delimited lines: some without a first field, some with
 # an unreadable number, some cut short.
 _FIELDS_SQL = """
-    SELECT event_id AS id, event_type AS host, epoch(ts)::BIGINT AS time,
+    SELECT event_id AS id, event_type AS host, floor(epoch(ts))::BIGINT AS time,
            CASE WHEN event_type = 'error' THEN -1 ELSE user_id END AS response,
            CASE WHEN event_type = 'signup' THEN -1 ELSE CAST(props->>'k' AS INTEGER) END AS bytes
     FROM events WHERE user_id <> 7
@@ -204,12 +204,11 @@ _FIELDS_SQL = """
 
 def _event_fields(t: Table) -> DataFrame:
     event = F.col("event_type")
-    epoch = F.timestamp_diff("SECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), F.col("ts"))
     line = F.concat_ws(
         ",",
         F.when(F.col("user_id") == 7, "").otherwise(F.col("event_id").cast("string")),
         event,
-        epoch.cast("string"),
+        epoch_seconds("ts").cast("string"),
         F.when(event == "error", "x12").otherwise(F.col("user_id").cast("string")),
         F.when(event == "signup", "").otherwise(F.regexp_replace("props", "\\D+", "")),
     )
@@ -223,11 +222,7 @@ def _event_fields(t: Table) -> DataFrame:
     return parse_delimited(t("events").select(line.alias("value")), fields)
 
 
-@query(
-    "SELECT id, host, floor(time)::BIGINT AS time, response, bytes FROM ("
-    + _FIELDS_SQL.replace("epoch(ts)::BIGINT", "floor(epoch(ts))::BIGINT")
-    + ")"
-)
+@query(_FIELDS_SQL)
 def delimited_lines(t: Table) -> DataFrame:
     return _event_fields(t)
 

@@ -40,3 +40,9 @@ def money(col: str) -> Column:
 def average(total: Column, count: Column) -> Column:
     """Quotient of an exact sum and a count."""
     return total.cast("double") / count
+
+
+def epoch_seconds(col: str) -> Column:
+    """Seconds since 1970 of a time without zone, whatever the session's zone."""
+    days = F.unix_date(F.col(col).cast("date")).cast("long")
+    return days * 86400 + F.hour(col) * 3600 + F.minute(col) * 60 + F.second(col)

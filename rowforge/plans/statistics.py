@@ -15,7 +15,7 @@ from rowforge.operators import (
     top_counts,
     with_average,
 )
-from rowforge.plans.registry import Table, average, money, query
+from rowforge.plans.registry import Table, average, epoch_seconds, money, query
 
 
 @query(
@@ -192,8 +192,7 @@ def top_keys(t: Table) -> DataFrame:
     """
 )
 def top_weekdays(t: Table) -> DataFrame:
-    epoch = F.timestamp_diff("SECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), F.col("ts"))
-    errors = t("events").where(F.col("event_type") == "error").select(epoch.alias("time"))
+    errors = t("events").where(F.col("event_type") == "error").select(epoch_seconds("ts").alias("time"))
     return top_counts(errors, weekday_name("time"), 3, key_name="weekday")
 
 

@@ -38,9 +38,11 @@ def parse_delimited(
     Separators at the end of a line count as missing fields, and lines whose
     first field is empty are dropped.
     """
-    trimmed = F.regexp_replace(F.col(col), f"(?:{re.escape(sep)})+$", "")
-    parts = lines.select(F.split(trimmed, re.escape(sep), -1).alias("parts"))
-    kept = parts.where(F.get("parts", F.lit(0)) != "")
+    if len(sep) != 1:
+        raise ValueError("sep must be one character")
+    line = F.rtrim(F.col(col), F.lit(sep))
+    kept = lines.where((line != "") & ~line.startswith(sep))
+    parts = kept.select(F.split(line, re.escape(sep), -1).alias("parts"))
 
     def typed(i: int, field: TextField) -> Column:
         text = F.get("parts", F.lit(i))
@@ -48,7 +50,7 @@ def parse_delimited(
         value = parse_integer(text, field.type) if whole else text.try_cast(field.type)
         return F.coalesce(value, F.lit(field.default).cast(field.type)).alias(field.name)
 
-    return kept.select(*(typed(i, field) for i, field in enumerate(fields)))
+    return parts.select(*(typed(i, field) for i, field in enumerate(fields)))
 
 
 def parse_json_lines(
