@@ -32,7 +32,7 @@ def _join_on(
     left: DataFrame, right: DataFrame, on: Sequence[str], how: str, residual: Column | None
 ) -> DataFrame:
     """Equi-join on same-named columns plus a residual condition, left keys kept."""
-    names = {c: f"right_{c}" for c in on}
+    names = {c: f"{c}_of_right" for c in on}
     conditions = [F.col(c) == F.col(r) for c, r in names.items()]
     if residual is not None:
         conditions.append(residual)

@@ -97,32 +97,33 @@ def _as_type(mart: DataFrame, col: str, value: Any, cfg: Scd2Config) -> Column:
     return F.lit(value).cast(target)
 
 
-def _open_test(mart: DataFrame, cfg: Scd2Config) -> tuple[Column, Column]:
-    """The column and the value that mark an open row."""
+def _open_and_history(mart: DataFrame, cfg: Scd2Config) -> tuple[Column, Column]:
+    """Conditions for open rows and for all others, in forms a scan can take."""
     if cfg.active_col is not None:
-        return F.col(cfg.active_col), F.lit(True)
-    return F.col(cfg.to_col), _as_type(mart, cfg.to_col, cfg.open_end, cfg)
-
-
-def _open_rows(mart: DataFrame, cfg: Scd2Config) -> DataFrame:
-    col, marker = _open_test(mart, cfg)
-    return mart.where(col == marker)
+        active = F.col(cfg.active_col)
+        return active, ~active.eqNullSafe(F.lit(True))
+    end = F.col(cfg.to_col)
+    if isinstance(mart.schema[cfg.to_col].dataType, StringType):
+        # Text may carry a time of day after the date.
+        is_open = end.startswith(cfg.open_end)
+        return is_open, ~F.coalesce(is_open, F.lit(False))
+    marker = _as_type(mart, cfg.to_col, cfg.open_end, cfg)
+    return end == marker, ~end.eqNullSafe(marker)
 
 
 def scd2_history(mart: DataFrame, cfg: Scd2Config) -> DataFrame:
     """Every row that is not open, whenever it was closed."""
-    col, marker = _open_test(mart, cfg)
-    return mart.where(~col.eqNullSafe(marker))
+    return mart.where(_open_and_history(mart, cfg)[1])
 
 
-def _one_per_key(increment: DataFrame, cfg: Scd2Config) -> DataFrame:
-    """Keys and the one increment row of each, as a struct.
+def _one_per_key(increment: DataFrame, cfg: Scd2Config, columns: Sequence[str]) -> DataFrame:
+    """Keys and, as a struct, the named columns of the one increment row of each.
 
     Rows are reduced on the map side, so many copies of one key cost no more
     than one, and the join reuses this aggregate's partitioning. A key that is
     null, or has several rows and no ``latest_by``, fails the job.
     """
-    row = F.struct(*increment.columns)
+    row = F.struct(*columns)
     if cfg.latest_by:
         picked = F.max(F.struct(F.struct(*cfg.latest_by).alias("rank"), row.alias("row")))["row"]
     else:
@@ -143,14 +144,26 @@ def _one_per_key(increment: DataFrame, cfg: Scd2Config) -> DataFrame:
 
 
 def _matched(
-    mart: DataFrame, increment: DataFrame, cfg: Scd2Config, small_increment: bool
+    mart: DataFrame,
+    increment: DataFrame,
+    cfg: Scd2Config,
+    small_increment: bool = False,
+    columns: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Keys, open row, increment row and status: one row per open or incoming key."""
+    """Keys, open row, increment row and status: one row per open or incoming key.
+
+    The rows are structs of the mart's ``columns`` (default all) besides the
+    keys; what else the increment holds is not carried along.
+    """
     keys = list(cfg.keys)
-    current = _open_rows(mart, cfg).select(*keys, F.struct(*mart.columns).alias(OLD))
+    carried = [c for c in columns or mart.columns if c not in keys]
+    replaced = _replaced(cfg)
+    offered = [c for c in carried if c in increment.columns and c not in replaced]
+    is_open, _ = _open_and_history(mart, cfg)
+    current = mart.where(is_open).select(*keys, F.struct(*carried).alias(OLD))
     # Keys in the mart's own types, so that both sides hash alike.
     typed = increment.withColumns({k: F.col(k).cast(mart.schema[k].dataType) for k in keys})
-    incoming = _one_per_key(typed, cfg)
+    incoming = _one_per_key(typed, cfg, offered)
     if small_increment:
         # The mart only streams past the increment, which Spark broadcasts if
         # its size allows; a second pass over the open keys finds the new ones.
@@ -177,43 +190,48 @@ def _matched(
     return pairs.withColumn(STATUS, status)
 
 
+def _replaced(cfg: Scd2Config) -> set[str]:
+    """Columns whose new value never comes from the increment."""
+    return {cfg.from_col, cfg.to_col, cfg.active_col, *cfg.audit}
+
+
 class _Versions:
     """The row structs a matched pair can turn into, all of the mart's schema."""
 
     def __init__(self, mart: DataFrame, increment: DataFrame, cfg: Scd2Config, as_of: Any) -> None:
         self.mart, self.cfg = mart, cfg
-        self.incoming = set(increment.columns)
+        self.offered = set(increment.columns) - _replaced(cfg)
         self.audit = {c: _as_type(mart, c, v, cfg) for c, v in cfg.audit.items()}
-        self.now = _as_type(mart, cfg.to_col, as_of, cfg)
-        self.start = _as_type(mart, cfg.from_col, as_of, cfg)
-        self.forever = _as_type(mart, cfg.to_col, cfg.open_end, cfg)
+        flag = [cfg.active_col] if cfg.active_col else []
+        self.ends = {cfg.to_col: _as_type(mart, cfg.to_col, as_of, cfg)}
+        self.ends |= {c: F.lit(False) for c in flag}
+        self.starts = {
+            cfg.from_col: _as_type(mart, cfg.from_col, as_of, cfg),
+            cfg.to_col: _as_type(mart, cfg.to_col, cfg.open_end, cfg),
+        }
+        self.starts |= {c: F.lit(True) for c in flag}
 
-    def _row(self, value_of: Any) -> Column:
-        return F.struct(*(value_of(c.name, c.dataType).alias(c.name) for c in self.mart.schema))
+    def _row(self, given: Mapping[str, Column], offered: set[str]) -> Column:
+        """Given values first, then the increment's, then the old row's."""
+
+        def value(c: str, kind: Any) -> Column:
+            if c in self.cfg.keys:
+                return F.col(c)
+            if c in given:
+                return given[c]
+            return F.col(NEW)[c].cast(kind) if c in offered else F.col(OLD)[c]
+
+        return F.struct(*(value(c.name, c.dataType).alias(c.name) for c in self.mart.schema))
 
     def kept(self) -> Column:
-        return self._row(lambda c, _: self.audit.get(c, F.col(OLD)[c]))
+        return self._row(self.audit, set())
 
     def closed(self) -> Column:
-        ends = {self.cfg.to_col: self.now}
-        if self.cfg.active_col:
-            ends[self.cfg.active_col] = F.lit(False)
-        return self._row(lambda c, _: ends.get(c, self.audit.get(c, F.col(OLD)[c])))
+        return self._row(self.audit | self.ends, set())
 
     def opened(self) -> Column:
-        starts = {self.cfg.from_col: self.start, self.cfg.to_col: self.forever}
-        if self.cfg.active_col:
-            starts[self.cfg.active_col] = F.lit(True)
-
-        def value(c: str, kind: Any) -> Column:
-            if c in starts:
-                return starts[c]
-            if c in self.audit:
-                return self.audit[c]
-            # A column the increment lacks is carried over from the old version.
-            return F.col(NEW)[c].cast(kind) if c in self.incoming else F.col(OLD)[c]
-
-        return self._row(value)
+        """A column the increment lacks is carried over from the old version."""
+        return self._row(self.audit | self.starts, self.offered)
 
 
 def _checked(mart: DataFrame, increment: DataFrame, cfg: Scd2Config) -> None:
@@ -232,12 +250,20 @@ def scd2_changes(
 ) -> DataFrame:
     """Status of every open or incoming key: unchanged, changed, new or missing."""
     _checked(mart, increment, cfg)
-    return _matched(mart, increment, cfg, small_increment).select(*cfg.keys, STATUS)
+    pairs = _matched(mart, increment, cfg, small_increment, columns=cfg.tracked)
+    return pairs.select(*cfg.keys, STATUS)
 
 
-def _part(mart, increment, cfg, as_of, statuses, version) -> DataFrame:
+def _part(
+    mart: DataFrame,
+    increment: DataFrame,
+    cfg: Scd2Config,
+    as_of: Any,
+    statuses: Sequence[str],
+    version: str,
+) -> DataFrame:
     _checked(mart, increment, cfg)
-    pairs = _matched(mart, increment, cfg, small_increment=False).where(F.col(STATUS).isin(statuses))
+    pairs = _matched(mart, increment, cfg).where(F.col(STATUS).isin(statuses))
     row = getattr(_Versions(mart, increment, cfg, as_of), version)()
     return pairs.select(row.alias("row")).select("row.*")
 

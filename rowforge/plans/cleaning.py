@@ -198,7 +198,7 @@ _FIELDS_SQL = """
     SELECT event_id AS id, event_type AS host, floor(epoch(ts))::BIGINT AS time,
            CASE WHEN event_type = 'error' THEN -1 ELSE user_id END AS response,
            CASE WHEN event_type = 'signup' THEN -1 ELSE CAST(props->>'k' AS INTEGER) END AS bytes
-    FROM events WHERE user_id <> 7
+    FROM events WHERE value >= 1
 """
 
 
@@ -206,7 +206,7 @@ def _event_fields(t: Table) -> DataFrame:
     event = F.col("event_type")
     line = F.concat_ws(
         ",",
-        F.when(F.col("user_id") == 7, "").otherwise(F.col("event_id").cast("string")),
+        F.when(F.col("value") < 1, "").otherwise(F.col("event_id").cast("string")),
         event,
         epoch_seconds("ts").cast("string"),
         F.when(event == "error", "x12").otherwise(F.col("user_id").cast("string")),

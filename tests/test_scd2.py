@@ -337,3 +337,21 @@ def test_bucketed_mart_is_joined_where_it_lies(spark, plan_of, text_mart, text_i
         assert rows(merged) == sorted(HISTORY + KEPT + CLOSED + OPENED, key=repr)
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
+def test_text_ends_may_carry_a_time_and_null_ends_are_history(spark):
+    cfg = Scd2Config(keys=["id"], tracked=["a"], from_col="b_dt", to_col="e_dt")
+    mart = spark.createDataFrame(
+        [(1, "x", "2020-01-01", "9999-12-31 00:00:00"), (2, "y", "2020-01-01", None)],
+        "id int, a string, b_dt string, e_dt string",
+    )
+    increment = spark.createDataFrame([(1, "x")], "id int, a string")
+    assert rows(scd2_changes(mart, increment, cfg)) == [(1, "unchanged")]
+    assert rows(scd2_merge(mart, increment, cfg, AS_OF)) == rows(mart)
+
+
+def test_increment_columns_the_mart_does_not_know_are_not_shuffled(text_mart, text_increment, plan_of):
+    from pyspark.sql import functions as F
+
+    wide = text_increment.withColumn("noise", F.uuid())
+    assert "noise" not in plan_of(scd2_merge(text_mart, wide, TEXT, AS_OF))
