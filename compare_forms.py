@@ -64,10 +64,11 @@ def scd2(t):
 
 
 def skewed_join(t, **options):
-    """Plain sort-merge join against a salted one; one key holds a third of the lines."""
+    """Plain sort-merge join against a salted one; one key holds a third of the lines and 26 parts."""
     key = F.when(F.col("l_returnflag") == "A", 0).otherwise(F.col("l_partkey")).alias("partkey")
     lines = t("lineitem").select(key, "l_orderkey", "l_linenumber")
-    parts = t("part").select(F.col("p_partkey").alias("partkey"), "p_brand")
+    parts = t("part").select(F.col("p_partkey").alias("partkey"), F.col("p_brand").alias("name"))
+    parts = parts.unionByName(t("nation").select(F.lit(0).alias("partkey"), F.col("n_name").alias("name")))
     return lines.join(parts, ["partkey"]), salted_join(lines, parts, ["partkey"], **options)
 
 
