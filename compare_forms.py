@@ -148,8 +148,13 @@ SHUFFLED = ("skewed_join", "skewed_join_hot_only", "band_average")
 
 
 def same(a: DataFrame, b: DataFrame) -> bool:
-    b = b.select(*a.columns)
-    return a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
+    """Whether row counts and the sums of row hashes agree."""
+
+    def summary(df: DataFrame) -> tuple:
+        row = F.xxhash64(*(F.col(c) for c in sorted(a.columns))).cast("decimal(38,0)")
+        return tuple(df.agg(F.count(F.lit(1)), F.sum(row)).first())
+
+    return summary(a) == summary(b)
 
 
 def main() -> None:
