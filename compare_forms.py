@@ -132,8 +132,8 @@ def load_batches(t):
 
 def deduplicate(t):
     """A ranking window against a minimum over row structs; three keys hold all rows."""
-    lines = t("lineitem").select("l_returnflag", "l_orderkey", "l_linenumber", "l_shipdate", "l_partkey", "l_suppkey")
     order = ["l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+    lines = t("lineitem").select("l_returnflag", *order)
     rank = F.row_number().over(Window.partitionBy("l_returnflag").orderBy(*order))
     plain = lines.withColumn("n", rank).where("n = 1").drop("n")
     return plain, dedup_by_key(lines, "l_returnflag", order, keep_null_keys=False)
@@ -141,7 +141,16 @@ def deduplicate(t):
 
 PAIRS = {
     f.__name__: f
-    for f in (scd2, skewed_join, skewed_join_hot_only, band_average, membership, extremes, load_batches, deduplicate)
+    for f in (
+        scd2,
+        skewed_join,
+        skewed_join_hot_only,
+        band_average,
+        membership,
+        extremes,
+        load_batches,
+        deduplicate,
+    )
 }
 # Compared with broadcast joins off, as the joins at stake are between large sides.
 SHUFFLED = ("skewed_join", "skewed_join_hot_only", "band_average")

@@ -4,6 +4,7 @@ from rowforge.functions.conditions import decode_value, first_match, starts_with
 from rowforge.functions.dates import (
     MONTH_NAMES,
     age_in_years,
+    day_of,
     month_code,
     month_end,
     month_name,
@@ -19,6 +20,7 @@ __all__ = [
     "MONTH_NAMES",
     "age_in_years",
     "convert_unit",
+    "day_of",
     "decode_value",
     "fingerprint",
     "first_match",

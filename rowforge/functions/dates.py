@@ -85,8 +85,14 @@ def age_in_years(since: str | Column, as_of: dt.date) -> Column:
     return (days / F.lit(365)).cast("int")
 
 
+def day_of(col: str | Column) -> Column:
+    """Day of a date, a time, or ISO text; null for unreadable text."""
+    return _col(col).try_cast("date")
+
+
 def month_end(col: str | Column) -> Column:
-    return F.last_day(_col(col).cast("date"))
+    """Last day of the month of a date, a time, or ISO text."""
+    return F.last_day(day_of(col))
 
 
 def month_code(col: str | Column) -> Column:

@@ -36,9 +36,9 @@ def _latest(df: DataFrame, keys: list[str], order: list[str], cols: list[str]) -
     return df.groupBy(*keys).agg(row.alias("row")).select("row.*")
 
 
-def _shown(rows: DataFrame, *ends: str) -> DataFrame:
-    """Open ends as text: they lie beyond what nanosecond timestamps can hold."""
-    return rows.withColumns({c: F.col(c).cast("string") for c in ends})
+def _shown(rows: DataFrame, *times: str) -> DataFrame:
+    """Times as text: open ends lie beyond what nanosecond timestamps can hold."""
+    return rows.withColumns({c: F.col(c).cast("string") for c in times})
 
 
 # ---- Flag variant: the latest order of each customer -----------------------
@@ -75,7 +75,10 @@ _FLAG_SQL = """
                FROM inc LEFT JOIN cur USING (custkey)
                WHERE cur.custkey IS NULL OR inc.status <> cur.status OR inc.priority <> cur.priority)
 """
-_SHOWN_FLAG = "SELECT * REPLACE (effective_to_dt::VARCHAR AS effective_to_dt) FROM "
+_SHOWN_FLAG = """
+    SELECT * REPLACE (effective_from_dt::VARCHAR AS effective_from_dt,
+                      effective_to_dt::VARCHAR AS effective_to_dt) FROM
+"""
 _FLAG_MERGE_SQL = (
     _FLAG_SQL
     + _SHOWN_FLAG
@@ -114,13 +117,13 @@ def customer_mart(t: Table) -> tuple[DataFrame, DataFrame]:
 @query(_FLAG_MERGE_SQL)
 def scd2_merge_flag(t: Table) -> DataFrame:
     mart, increment = customer_mart(t)
-    return _shown(scd2_merge(mart, increment, FLAG, FLAG_AS_OF), "effective_to_dt")
+    return _shown(scd2_merge(mart, increment, FLAG, FLAG_AS_OF), "effective_from_dt", "effective_to_dt")
 
 
 @query(_FLAG_MERGE_SQL)
 def scd2_merge_small_increment(t: Table) -> DataFrame:
     mart, increment = customer_mart(t)
-    return _shown(scd2_merge(mart, increment, FLAG, FLAG_AS_OF, small_increment=True), "effective_to_dt")
+    return _shown(scd2_merge(mart, increment, FLAG, FLAG_AS_OF, small_increment=True), "effective_from_dt", "effective_to_dt")
 
 
 @query(
@@ -141,19 +144,19 @@ def customer_changes(t: Table) -> DataFrame:
 @query(_FLAG_SQL + _SHOWN_FLAG + "closed", name="scd2_closed")
 def customer_closed(t: Table) -> DataFrame:
     mart, increment = customer_mart(t)
-    return _shown(scd2_closed(mart, increment, FLAG, FLAG_AS_OF), "effective_to_dt")
+    return _shown(scd2_closed(mart, increment, FLAG, FLAG_AS_OF), "effective_from_dt", "effective_to_dt")
 
 
 @query(_FLAG_SQL + _SHOWN_FLAG + "opened", name="scd2_new")
 def customer_new(t: Table) -> DataFrame:
     mart, increment = customer_mart(t)
-    return _shown(scd2_new(mart, increment, FLAG, FLAG_AS_OF), "effective_to_dt")
+    return _shown(scd2_new(mart, increment, FLAG, FLAG_AS_OF), "effective_from_dt", "effective_to_dt")
 
 
 @query(_FLAG_SQL + _SHOWN_FLAG + "unchanged", name="scd2_unchanged")
 def customer_unchanged(t: Table) -> DataFrame:
     mart, increment = customer_mart(t)
-    return _shown(scd2_unchanged(mart, increment, FLAG, FLAG_AS_OF), "effective_to_dt")
+    return _shown(scd2_unchanged(mart, increment, FLAG, FLAG_AS_OF), "effective_from_dt", "effective_to_dt")
 
 
 # ---- Date variant: the latest shipment of each part by each supplier --------
@@ -262,7 +265,8 @@ AUDIT_AS_OF = dt.date(2024, 2, 1)
         SELECT user_id, inc.event_type, inc.value, DATE '2024-02-01', DATE '9999-12-31'
         FROM inc LEFT JOIN cur USING (user_id)
         WHERE cur.user_id IS NULL OR inc.event_type <> cur.event_type)
-    SELECT * REPLACE (effective_to_dt::VARCHAR AS effective_to_dt) FROM (
+    SELECT * REPLACE (effective_to_dt::VARCHAR AS effective_to_dt,
+                      load_dttm::VARCHAR AS load_dttm) FROM (
         SELECT * FROM history
         UNION ALL
         SELECT *, TIMESTAMP '2024-02-01 12:00:00', DATE '2024-02-01' FROM emitted)
@@ -287,4 +291,4 @@ def scd2_merge_audit(t: Table) -> DataFrame:
     newest = _latest(recent, ["user_id"], ["ts", "event_id"], ["user_id", "event_type", "value", "ts"])
     mart = history.unionByName(versions(newest, "9999-12-31"))
     increment = events.where(_between("ts", "2024-01-29", None))
-    return _shown(scd2_merge(mart, increment, AUDIT, AUDIT_AS_OF), "effective_to_dt")
+    return _shown(scd2_merge(mart, increment, AUDIT, AUDIT_AS_OF), "effective_to_dt", "load_dttm")

@@ -30,7 +30,7 @@ def topk_latest_periods(t: Table) -> DataFrame:
                   ORDER BY period DESC LIMIT 6),
          reported AS (SELECT DISTINCT last_day(o_orderdate::DATE) AS period FROM orders
                       ORDER BY period DESC LIMIT 6)
-    SELECT l_orderkey, l_linenumber, l_partkey, l_shipdate FROM lineitem
+    SELECT l_orderkey, l_linenumber, l_partkey, l_shipdate::DATE AS ship_day FROM lineitem
     WHERE last_day(l_shipdate::DATE) IN (SELECT period FROM sent EXCEPT SELECT period FROM reported)
     """,
     name="missing_periods",
@@ -39,7 +39,8 @@ def unreported_lines(t: Table) -> DataFrame:
     """Lines shipped in recent months for which there are no orders yet."""
     reported = t("orders").select(month_end("o_orderdate").alias("report_dt"))
     lines = t("lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_shipdate")
-    return missing_periods(lines, reported, "l_shipdate", "report_dt")
+    unreported = missing_periods(lines, reported, "l_shipdate", "report_dt")
+    return unreported.withColumn("ship_day", F.col("l_shipdate").cast("date")).drop("l_shipdate")
 
 
 # An order is reported some days after it is loaded, the less urgent the later.

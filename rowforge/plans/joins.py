@@ -202,27 +202,27 @@ def band_partner_average(t: Table) -> DataFrame:
 
 @query(
     """
-    SELECT l_orderkey, l_linenumber, l_shipdate, o_orderdate
-    FROM lineitem JOIN orders ON l_orderkey = o_orderkey
-     AND abs(date_diff('day', DATE '1970-01-01', l_shipdate::DATE)
-             - date_diff('day', DATE '1970-01-01', o_orderdate::DATE)) <= 30
+    SELECT l_orderkey, l_linenumber, ship_day, order_day FROM (
+        SELECT *, date_diff('day', DATE '1970-01-01', l_shipdate::DATE)::INTEGER AS ship_day,
+               date_diff('day', DATE '1970-01-01', o_orderdate::DATE)::INTEGER AS order_day
+        FROM lineitem JOIN orders ON l_orderkey = o_orderkey)
+    WHERE abs(ship_day - order_day) <= 30
     """,
     name="band_join",
 )
 def lines_shipped_near_order(t: Table) -> DataFrame:
+    """Lines shipped at most 30 days from their order; both as days since 1970."""
     lines = t("lineitem").select(
         F.col("l_orderkey").alias("orderkey"),
         "l_linenumber",
-        "l_shipdate",
         F.unix_date(F.col("l_shipdate").cast("date")).alias("ship_day"),
     )
     orders = t("orders").select(
         F.col("o_orderkey").alias("orderkey"),
-        "o_orderdate",
         F.unix_date(F.col("o_orderdate").cast("date")).alias("order_day"),
     )
     near = band_join(lines, orders, ["orderkey"], "ship_day", "order_day", 30)
-    return near.select(F.col("orderkey").alias("l_orderkey"), "l_linenumber", "l_shipdate", "o_orderdate")
+    return near.withColumnRenamed("orderkey", "l_orderkey")
 
 
 @query(

@@ -6,7 +6,6 @@ import datetime as dt
 
 from conftest import rows
 
-from rowforge.functions import parse_date
 from rowforge.operators import flag_load_batches, late_rows, latest_values, missing_periods
 
 D = dt.date
@@ -32,6 +31,14 @@ def test_missing_periods(spark):
     assert wanted.count() == 12
 
 
+def test_dates_held_as_text(spark):
+    texts = ["2024-07-15", " 2024-8-5", "2024-06-31", None, "2024-08-28"]
+    source = spark.createDataFrame([(t,) for t in texts], "send_dt string")
+    target = spark.createDataFrame([("2024-07-31",), ("bad",)], "report_dt string")
+    wanted = missing_periods(source, target, "send_dt", "report_dt")
+    assert rows(wanted) == [(" 2024-8-5",), ("2024-08-28",)]
+
+
 def test_nothing_missing(spark):
     target = spark.createDataFrame([(D(2024, m, 1),) for m in range(1, 9)], "day date").selectExpr(
         "last_day(day) AS report_dt"
@@ -69,11 +76,7 @@ def _loads(spark):
         ("2024-05-31", "i", "2024-07-03 02:31:06"),
     ]
     loads = spark.createDataFrame(texts, "report_dt string, who string, loaded string")
-    return loads.select(
-        parse_date("report_dt").alias("report_dt"),
-        "who",
-        parse_date("loaded", ["yyyy-M-d HH:mm:ss"]).alias("load_day"),
-    )
+    return loads.withColumnRenamed("loaded", "load_day")
 
 
 def test_load_batches(spark):
