@@ -72,9 +72,11 @@ def salted_join(
     over the left keys; at most ``1 / hot_share`` of them, hence broadcast),
     and all other right rows travel once.
 
-    The salt hashes the partition a row is read from, plus ``salt_on``. It does
-    not depend on row order, so a task rerun after a lost executor salts alike,
-    and it splits exact copies, which a hash of the row could not.
+    The salt is the partition a row is read from, hashed with ``salt_on`` if
+    given (for a left side of few, large partitions). It does not depend on row
+    order, so a task rerun after a lost executor salts alike, and it splits
+    exact copies, which a hash of the row could not. Both sides consult the
+    same hot keys, so ``left`` must give the same rows each time it is read.
     """
     if how not in _ONE_SIDED:
         raise ValueError(f"how must be one of {_ONE_SIDED}: repeated right rows must not surface")
@@ -85,7 +87,10 @@ def salted_join(
     if salts == 1:
         return _join_on(left, right, on, how, residual)
 
-    salt = F.pmod(F.xxhash64(F.spark_partition_id(), *salt_on), F.lit(salts)).cast("int")
+    origin = F.spark_partition_id()
+    if salt_on:
+        origin = F.xxhash64(origin, *salt_on)
+    salt = F.pmod(origin, F.lit(salts)).cast("int")
     every_salt = F.sequence(F.lit(0), F.lit(salts - 1))
     if hot_share is None:
         salted = left.withColumn(SALT, salt)
