@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowforge.llm import chat, decontaminate, langid, linededup, neardup, packing, pii, toxicity
+from rowforge.llm import ann, chat, decontaminate, html_text, langid, linededup, neardup, packing, pii, toxicity
 from rowforge.llm.shared import fold
 
 MIN_SITES, MAX_SHARE, TOKENS = 8, 0.5, 2048
@@ -21,6 +21,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five nearest vectors of every fiftieth one."""
+    return ann.nearest(table(spark, sf_dir, "embeddings"))
+
+
+def op2_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return html_text.main_text(table(spark, sf_dir, "pages"))
+
+
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark items found in documents: doc_id, item_id, share of the item's words found in order."""
     return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -71,5 +81,5 @@ def op10_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pseudonymise(table(spark, sf_dir, "documents"), "rowforge-key-1")
 
 
-QUERIES = {f.__name__: f for f in (op3_decontaminate, op4_language_id, op5_pattern_packing, op6_line_dedup, op7_toxicity, op8_chat_format, op9_near_duplicates, op10_pseudonyms)}
+QUERIES = {f.__name__: f for f in (op1_nearest_neighbours, op2_main_text, op3_decontaminate, op4_language_id, op5_pattern_packing, op6_line_dedup, op7_toxicity, op8_chat_format, op9_near_duplicates, op10_pseudonyms)}
 ORACLES = {"op6_line_dedup": linededup.boilerplate_sql("documents", MIN_SITES, MAX_SHARE), "op8_chat_format": chat.DIGEST_SQL}
