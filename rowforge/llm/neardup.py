@@ -11,7 +11,8 @@ Groups are not paired out: first each class meets the smallest class of each of
 links are closed to components, and only then do classes of one bucket meet that are still
 in different components. A pair at the threshold shares no band with probability 4e-6.
 
-Null and empty texts have no shingles and stay alone. Repeated rows and repeated ids come back
+Null and empty texts have no shingles and stay alone; rows without an id are left out, and rows that share
+an id are taken to share their text. Repeated rows and repeated ids come back
 once for each row. Other columns are ignored. An empty table gives an empty result.
 """
 
@@ -134,7 +135,7 @@ def components(links: DataFrame) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, threshold: float = 0.75) -> DataFrame:
     """doc_id, n_shingles, component_id and kept for every row of ``docs`` (doc_id, text)."""
-    base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter("doc_id is not null")
     spaced = F.regexp_replace(F.translate(F.coalesce("text", F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"), r"[\x20\x09-\x0D]+", " ")
     keyed = base.select("doc_id", F.md5(F.trim(spaced).cast("binary")).alias("key"))
     members = written(keyed.groupBy("key", "doc_id").agg(F.count("*").alias("times")), "members")
@@ -145,7 +146,7 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.75) -> DataFrame:
     hits = sketched.select("cls", F.explode("bands").alias("band"))
     heads = hits.groupBy("band").agg(F.min("cls").alias("head"), F.count("*").alias("n")).filter("n > 1")
     crowded = written(hits.join(heads, "band").select("band", "cls", "head", "n"), "buckets")
-    odd = sketched.select("cls", "odd")
+    odd = sketched.select("cls", "odd", "bands")
     far = sketch_distance(threshold)
 
     def close(pairs: DataFrame) -> DataFrame:
@@ -171,9 +172,11 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.75) -> DataFrame:
     apart = rooted(crowded.filter("n > 2").select("band", F.col("cls")), "cls")
     mixed = apart.groupBy("band").agg(F.min("_cls").alias("lo"), F.max("_cls").alias("hi")).filter("lo < hi").select("band")
     apart = apart.join(mixed, "band", "left_semi").join(odd, "cls")
-    left, right = (apart.select("band", *[F.col(c).alias(p + c) for c in ("cls", "_cls", "odd")]) for p in ("a", "b"))
+    left, right = (apart.select("band", *[F.col(c).alias(p + c) for c in ("cls", "_cls", "odd", "bands")]) for p in ("a", "b"))
     bits = F.aggregate(F.zip_with("aodd", "bodd", lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda s, v: s + v)
-    later = left.join(right, "band").filter((F.col("acls") < F.col("bcls")) & (F.col("a_cls") != F.col("b_cls")) & (bits <= far)).select(F.col("acls").alias("a"), F.col("bcls").alias("b"))
+    # a pair is proposed by one of the bands that it shares
+    once = F.col("band") == F.array_min(F.array_intersect("abands", "bbands"))
+    later = left.join(right, "band").filter((F.col("acls") < F.col("bcls")) & (F.col("a_cls") != F.col("b_cls")) & (bits <= far) & once).select(F.col("acls").alias("a"), F.col("bcls").alias("b"))
     rest = rooted(rooted(stars, "a"), "b").filter("_a <> _b").select("a", "b")
     more = written(confirm(later.union(rest).distinct()), "confirmed")
     roots = components(links.union(more))
