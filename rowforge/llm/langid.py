@@ -80,9 +80,9 @@ def train(docs: DataFrame, landmarks: int = 40, rows: int = 500, ridge: float =
     names = sorted(counts)
     if not names:
         return LanguageModel([], np.zeros((0, WIDTH), np.float32), np.zeros((0, 0)))
-    share = F.create_map(*[x for k in names for x in (F.lit(k), F.lit(min(1.0, rows / counts[k])))])
+    share, few = (F.create_map(*[x for k in names for x in (F.lit(k), F.lit(min(1.0, n / counts[k])))]) for n in (rows, landmarks))
     sample = labelled.withColumn("_at", hash_share(F.col("doc_id"), F.lit("language"))).withColumn("_share", share[F.col("lang")])
-    sample = sample.filter("_at < _share").withColumn("_land", F.col("_at") < F.col("_share") * (landmarks / rows))
+    sample = sample.filter("_at < _share").withColumn("_land", F.col("_at") < few[F.col("lang")])
 
     def windows(batches):
         """One window of each landmark text, its middle one."""
@@ -93,15 +93,13 @@ def train(docs: DataFrame, landmarks: int = 40, rows: int = 500, ridge: float =
                 middle = [int(np.median(np.flatnonzero(owner == k)).item()) for k in range(len(run))]
                 yield pa.RecordBatch.from_arrays([pa.array([matrix[k].tobytes() for k in middle], pa.binary())], ["row"])
 
-    few = labelled.sparkSession.sparkContext
-    floor = sample.filter("_land or _at < 0").select("text")
-    marks = [np.frombuffer(r.row, np.float32) for r in floor.mapInArrow(windows, "row binary").collect()]
+    marks = [np.frombuffer(r.row, np.float32) for r in sample.filter("_land").select("text").mapInArrow(windows, "row binary").collect()]
     if not marks:  # small tables: every sampled text is a landmark
         marks = [np.frombuffer(r.row, np.float32) for r in sample.select("text").mapInArrow(windows, "row binary").collect()]
     if not marks:
         return LanguageModel([], np.zeros((0, WIDTH), np.float32), np.zeros((0, 0)))
     grid = np.unique(np.stack(marks), axis=0)
-    sent = few.broadcast(grid)
+    sent = labelled.sparkSession.sparkContext.broadcast(grid)
 
     def products(batches):
         """Kernel products of each sampled text's windows, averaged; windows of one text share its label."""
