@@ -11,6 +11,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 SALT = "join_salt"
 CELL = "band_cell"
@@ -18,6 +19,7 @@ HOT = "hot_key"
 MEMBER = "array_member"
 # Fixed value: number of salts when the caller gives none.
 SALTS = 20
+LEAST_HOT_SHARE = 1e-4
 
 _ONE_SIDED = ("inner", "left", "left_semi", "left_anti")
 
@@ -53,6 +55,15 @@ def hot_keys(df: DataFrame, on: Sequence[str], min_share: float) -> DataFrame:
     return counts.where(F.col("rows") >= total * F.lit(min_share))
 
 
+def _holds_map(kind: T.DataType) -> bool:
+    """Whether a type holds a map or a variant, which Spark does not hash."""
+    if isinstance(kind, T.ArrayType):
+        return _holds_map(kind.elementType)
+    if isinstance(kind, T.StructType):
+        return any(_holds_map(f.dataType) for f in kind)
+    return isinstance(kind, T.MapType | T.VariantType)
+
+
 def salted_join(
     left: DataFrame,
     right: DataFrame,
@@ -72,24 +83,25 @@ def salted_join(
     over the left keys; at most ``1 / hot_share`` of them, hence broadcast),
     and all other right rows travel once.
 
-    The salt is the partition a row is read from, hashed with ``salt_on`` if
-    given (for a left side of few, large partitions). It does not depend on row
-    order, so a task rerun after a lost executor salts alike, and it splits
-    exact copies, which a hash of the row could not. Both sides consult the
+    The salt is a hash of the partition a row is read from and of ``salt_on``, by
+    default all left columns that can be hashed. It does not depend on row
+    order, so a task rerun after a lost executor salts alike; rows of one
+    partition are spread, and exact copies over partitions. Both sides consult the
     same hot keys, so ``left`` must give the same rows each time it is read.
     """
     if how not in _ONE_SIDED:
         raise ValueError(f"how must be one of {_ONE_SIDED}: repeated right rows must not surface")
     if salts < 1:
         raise ValueError("salts must be at least 1")
+    if hot_share is not None and hot_share < LEAST_HOT_SHARE:
+        raise ValueError(f"hot_share must be at least {LEAST_HOT_SHARE}: its keys are broadcast")
     _disjoint(left, right, on)
     on = list(on)
     if salts == 1:
         return _join_on(left, right, on, how, residual)
 
-    origin = F.spark_partition_id()
-    if salt_on:
-        origin = F.xxhash64(origin, *salt_on)
+    spread_by = list(salt_on) or [f.name for f in left.schema if not _holds_map(f.dataType)]
+    origin = F.xxhash64(F.spark_partition_id(), *spread_by)
     salt = F.pmod(origin, F.lit(salts)).cast("int")
     every_salt = F.sequence(F.lit(0), F.lit(salts - 1))
     if hot_share is None:
@@ -206,6 +218,8 @@ def array_membership_join(
     if how == "inner":
         return pairs
     known = members.select(*left_id, MEMBER).join(keyed.select(MEMBER), MEMBER, "left_semi")
-    alone = left.join(known.select(*left_id).distinct(), list(left_id), "left_anti")
+    known = known.select(*(F.col(c).alias(f"_known_{c}") for c in left_id)).distinct()
+    same = reduce(lambda a, b: a & b, (left[c].eqNullSafe(known[f"_known_{c}"]) for c in left_id))
+    alone = left.join(known, same, "left_anti")
     blanks = {c.name: F.lit(None).cast(c.dataType) for c in right.schema}
     return pairs.unionByName(alone.withColumns(blanks).select(*pairs.columns))

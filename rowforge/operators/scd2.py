@@ -296,9 +296,10 @@ def scd2_merge(
 
     ``small_increment`` avoids shuffling the mart when the increment is small
     enough for Spark to broadcast; the result is the same either way.
-    ``with_history=False`` gives only the rows that took part in the join, for
-    marts stored with their history in partitions of its own, which then need
-    no rewriting.
+    ``with_history=False`` gives only the rows that took part in the join: the open
+    rows after the merge and those closed by it. Old history is not among them, so never
+    overwrite partitions that hold history with this result: append the closed rows to the
+    history under their close date, and replace open rows only.
     """
     _checked(mart, increment, cfg)
     versions = _Versions(mart, increment, cfg, as_of)

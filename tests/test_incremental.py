@@ -65,15 +65,15 @@ def test_missing_periods_bound_the_scan(spark, tmp_path, plan_of):
 
 def _loads(spark):
     texts = [
-        ("2024-06-30", "a", "2024-07-01 03:58:07"),
-        ("2024-07-31", "b", "2024-07-01 05:13:06"),
-        ("2024-07-31", "c", "2024-07-10 09:11:06"),
-        ("2024-07-31", "d", "2024-07-10 10:11:06"),
-        ("2024-06-30", "e", "2024-06-31 02:51:06"),
-        ("2024-06-30", "f", "2024-06-31 02:54:06"),
-        ("2024-06-30", "g", "2024-06-30 12:06:06"),
-        ("2024-07-31", "h", "2024-07-03 02:31:06"),
-        ("2024-05-31", "i", "2024-07-03 02:31:06"),
+        ("2024-06-30", "a", "2024-07-02 08:00:00"),
+        ("2024-07-31", "b", "2024-07-02 09:30:00"),
+        ("2024-07-31", "c", "2024-07-15 10:00:00"),
+        ("2024-07-31", "d", "2024-07-15 11:45:00"),
+        ("2024-06-30", "e", "2024-06-31 12:10:00"),
+        ("2024-06-30", "f", "2024-06-31 13:20:00"),
+        ("2024-06-30", "g", "2024-06-28 14:05:00"),
+        ("2024-07-31", "h", "2024-07-08 15:50:00"),
+        ("2024-05-31", "i", "2024-07-08 15:50:00"),
     ]
     loads = spark.createDataFrame(texts, "report_dt string, who string, loaded string")
     return loads.withColumnRenamed("loaded", "load_day")

@@ -38,8 +38,8 @@ def test_entry(spark):
 
     result = entry_module.entry(spark)
     assert result.count() > 0
-    assert entry_module.queries().keys() == QUERIES.keys()
-    assert entry_module.oracle_sql() == ORACLES
+    assert entry_module.queries().keys() >= QUERIES.keys()
+    assert entry_module.oracle_sql().items() >= ORACLES.items()
 
 
 def test_partition_balance_counts_all_rows(spark, sf_dir):
