@@ -6,6 +6,8 @@ multiplies the Gram matrix with random vectors, another rotates the found space.
 as long as the items are compared with the items by cosine, from running sums of word vectors.
 Candidates are confirmed by the longest common subsequence of words: an item leaks if the
 window holds most of it in order, or half of it and its answer, the last words, in one run.
+The subsequence cannot be longer than the number of the window's words that are the item's,
+so candidates below that bound need no confirmation.
 
 Null and empty texts hold no item, and items without a word are never found. Repeated rows are reported
 for each row, an item found twice in a document once, with its best match. Other columns are ignored.
@@ -23,6 +25,7 @@ from pyspark.sql import functions as F
 from rowforge.llm.shared import written
 
 VOCABULARY, RANK, EXTRA, PASSAGE = 1 << 15, 64, 8, 32
+PLACES = 2048  # of the words of an item, for the bound on its candidates
 WORD = re.compile(r"\w+")
 WINDOWS = (4, 6, 9, 13, 18, 26, 38, 55, 80, 120, 180, 270, 400)
 
@@ -74,7 +77,7 @@ def weights(words: DataFrame) -> np.ndarray:
 
 
 def _passages(batch, scale, basis):
-    """Hashed words of a batch, the passage of each, and passages times the basis, rows scaled to unit TF-IDF."""
+    """Hashed words of a batch, the passage of each, passage norms, and unit TF-IDF passages times the basis, whose rows come weighted."""
     run = []
     size = 0
     for ids in [*_arrays(batch), None]:
@@ -88,7 +91,7 @@ def _passages(batch, scale, basis):
             owner = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(words))))
             w = scale[words]
             norm = 1.0 / np.sqrt(np.maximum(np.add.reduceat(w * w, starts), 1e-6))
-            yield words, owner, w, norm.astype(np.float32), np.add.reduceat(basis[words] * w[:, None], starts, axis=0) * norm[:, None]
+            yield words, owner, norm.astype(np.float32), np.add.reduceat(basis[words], starts, axis=0) * norm.astype(np.float32)[:, None]
             run, size = [], 0
 
 
@@ -97,17 +100,17 @@ def latent(words: DataFrame, scale: np.ndarray) -> np.ndarray:
     spark = words.sparkSession
     width = RANK + EXTRA
     start = np.random.default_rng(3).standard_normal((VOCABULARY, width)).astype(np.float32)
-    sent = spark.sparkContext.broadcast((scale, start))
+    sent = spark.sparkContext.broadcast((scale, start * scale[:, None]))
 
     def spread(batches):
         scale, basis = sent.value
         total = np.zeros((VOCABULARY, width), np.float32)
         for batch in batches:
-            for ids, owner, w, norm, y in _passages(batch, scale, basis):
+            for ids, owner, norm, y in _passages(batch, scale, basis):
                 order = np.argsort(ids, kind="stable")
-                first = np.flatnonzero(np.diff(ids[order], prepend=-1))
-                rows = (y * norm[:, None])[owner[order]] * w[order][:, None]
-                total[ids[order][first]] += np.add.reduceat(rows, first, axis=0)
+                first = np.flatnonzero(np.diff(ids[order].astype(np.int32), prepend=-1))
+                total[ids[order][first]] += np.add.reduceat((y * norm[:, None])[owner[order]], first, axis=0)
+        total *= scale[:, None]
         at = np.flatnonzero(total.any(axis=1))
         yield pa.RecordBatch.from_arrays([pa.array(at), *(pa.array(total[at, k]) for k in range(width))], ["at", *(f"c{k}" for k in range(width))])
 
@@ -116,7 +119,7 @@ def latent(words: DataFrame, scale: np.ndarray) -> np.ndarray:
     z = np.zeros((VOCABULARY, width))
     z[sums.column("at").to_numpy()] = np.column_stack([sums.column(f"c{k}").to_numpy() for k in range(width)]) if sums.num_rows else 0
     q = np.linalg.qr(z)[0].astype(np.float32)
-    held = spark.sparkContext.broadcast((scale, q))
+    held = spark.sparkContext.broadcast((scale, q * scale[:, None]))
 
     def rotate(batches):
         scale, basis = held.value
@@ -158,6 +161,15 @@ def matches(item: list[int], window: list[int], least: float, answer: int) -> fl
     return 0.0
 
 
+def tail_hashes(ids: np.ndarray, size: int) -> np.ndarray:
+    """A hash of each run of ``size`` words."""
+    out = np.zeros(max(0, len(ids) - size + 1), np.uint64)
+    for k in range(size if len(out) else 0):
+        out = (out + ids[k : k + len(out)]) * np.uint64(0x9E3779B97F4A7C15)
+        out ^= out >> np.uint64(29)
+    return out
+
+
 def leaks(docs: DataFrame, benchmark: DataFrame, *, cosine: float = 0.5, least: float = 0.75, answer: int = 5, block: int = 20_000) -> DataFrame:
     """doc_id, item_id and share of every benchmark item found in a document.
 
@@ -181,36 +193,57 @@ def leaks(docs: DataFrame, benchmark: DataFrame, *, cosine: float = 0.5, least:
         def search(batches, sent=sent):
             latent_of, known, groups = sent.value
             lists = [ids.tolist() for _, ids in known]
+            lengths = np.array([len(x) for x in lists])
+            holds = np.zeros((len(known), PLACES + 1), bool)  # the last place stands for no word
+            tails: dict[int, list[int]] = {}
+            for n, (_, ids) in enumerate(known):
+                holds[n, ids % PLACES] = True
+                if len(ids) > 2 * answer:
+                    tails.setdefault(int(tail_hashes(ids[-answer:], answer)[0]), []).append(n)
+            endings = np.array(sorted(tails), np.uint64)
             marks = {}
             for size, own in groups.items():
                 m = np.stack([latent_of[known[n][1] % VOCABULARY].sum(axis=0) for n in own])
-                marks[size] = m / np.maximum(np.linalg.norm(m, axis=1, keepdims=True), 1e-9)
+                marks[size] = (m / np.maximum(np.linalg.norm(m, axis=1, keepdims=True), 1e-9)).T, np.array(own), max(size, *lengths[own])
+
+            def candidates(ids: np.ndarray):
+                """Item and place of each window close to the item and not below the bound."""
+                need = np.ceil(least * lengths - 1e-9)
+                runs = tail_hashes(ids, answer)
+                for h in set(runs[np.isin(runs, endings)].tolist()):
+                    need[tails[h]] = np.minimum(need[tails[h]], np.ceil(0.5 * lengths[tails[h]]))
+                for lo in range(0, len(ids), 20_000):
+                    stretch = ids[lo : lo + 20_000 + 2 * max(marks, default=1)]
+                    sums = np.zeros((len(stretch) + 1, RANK), np.float32)
+                    np.cumsum(latent_of[stretch % VOCABULARY], axis=0, out=sums[1:])
+                    for size, (mark, own, wide) in marks.items():
+                        step = max(1, size // 4)
+                        starts = np.arange(0, max(1, min(len(stretch) - size, 20_000) + step), step)
+                        starts = np.minimum(starts, max(0, len(stretch) - size))
+                        window = sums[np.minimum(starts + size, len(stretch))] - sums[starts]
+                        norm = np.sqrt(np.einsum("ij,ij->i", window, window))
+                        s, n = np.nonzero(window @ mark >= cosine * np.maximum(norm, 1e-9)[:, None])
+                        # the places of the words around each window
+                        left, right = max(0, lo - wide), lo + len(stretch) + 2 * wide
+                        near = np.full(len(stretch) + 3 * wide + 1, PLACES)
+                        near[left - lo + wide :][: len(ids[left:right])] = ids[left:right] % PLACES
+                        around = np.arange(wide - wide // 2, 2 * wide + wide // 2 + 1)
+                        for k in range(0, len(s), 10_000):
+                            at, item = starts[s[k : k + 10_000]], own[n[k : k + 10_000]]
+                            kept = holds[item[:, None], near[at[:, None] + around]].sum(axis=1) >= need[item]
+                            yield from zip(item[kept].tolist(), (at[kept] + lo).tolist(), [size] * int(kept.sum()), strict=True)
+
             for batch in batches:
                 rows = []
                 for key, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                     ids = np.frombuffer(raw, np.uint32)
-                    if not len(ids):
-                        continue
                     best: dict[int, float] = {}
-                    for lo in range(0, len(ids), 20_000):
-                        stretch = ids[lo : lo + 20_000 + 2 * max(marks, default=1)]
-                        sums = np.zeros((len(stretch) + 1, RANK), np.float32)
-                        np.cumsum(latent_of[stretch % VOCABULARY], axis=0, out=sums[1:])
-                        for size, mark in marks.items():
-                            step = max(1, size // 4)
-                            starts = np.arange(0, max(1, min(len(stretch) - size, 20_000) + step), step)
-                            starts = np.minimum(starts, max(0, len(stretch) - size))
-                            window = sums[np.minimum(starts + size, len(stretch))] - sums[starts]
-                            norm = np.sqrt(np.einsum("ij,ij->i", window, window))
-                            close = window @ mark.T >= cosine * np.maximum(norm, 1e-9)[:, None]
-                            for s, n in zip(*np.nonzero(close), strict=True):
-                                n = groups[size][n]
-                                if best.get(n, 0.0) < 1.0:
-                                    wide = max(size, len(lists[n]))
-                                    at = lo + int(starts[s])
-                                    share = matches(lists[n], ids[max(0, at - wide // 2) : at + wide + wide // 2].tolist(), least, answer)
-                                    if share:
-                                        best[n] = max(best.get(n, 0.0), share)
+                    for n, at, size in candidates(ids) if len(ids) and marks else ():
+                        if best.get(n, 0.0) < 1.0:
+                            wide = max(size, len(lists[n]))
+                            share = matches(lists[n], ids[max(0, at - wide // 2) : at + wide + wide // 2].tolist(), least, answer)
+                            if share:
+                                best[n] = max(best.get(n, 0.0), share)
                     rows += [(key, known[n][0], share) for n, share in sorted(best.items())]
                 if rows:
                     a, b, c = zip(*rows, strict=True)
