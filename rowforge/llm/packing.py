@@ -15,6 +15,7 @@ the result is empty. Columns other than the id and the text are not read.
 from __future__ import annotations
 
 from collections import Counter
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -28,8 +29,33 @@ SALTS = 64
 PIECES = "doc_id long, piece int, start long, length long, ids binary"
 
 
-def pieces(docs: DataFrame, tokenizer: str, size: int = 2048, end_id: int = 0) -> DataFrame:
-    """doc_id, piece, start, length and ids (little-endian unsigned 32-bit) of every piece."""
+def whole_encoder(tokenizer):
+    """The ids of each text, encoded as it stands."""
+    return lambda texts: [x.ids for x in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+
+def word_encoder(tokenizer, keep: int = 300_000, longest: int = 64):
+    """The ids of each text, word by word; the ids of words met before are remembered."""
+    seen: dict[str, list[int]] = {}
+
+    def encode(texts: list[str]) -> list[list[int]]:
+        if len(seen) > keep:
+            seen.clear()
+        split = [x.replace("\n", " ").split(" ") for x in texts]
+        new = list({w for words in split for w in words if w not in seen})
+        found = dict(zip(new, (x.ids for x in tokenizer.encode_batch_fast(new, add_special_tokens=False)), strict=True))
+        seen.update((w, ids) for w, ids in found.items() if len(w) <= longest)
+        return [list(chain.from_iterable([seen[w] if w in seen else found[w] for w in words])) for words in split]
+
+    return encode
+
+
+def pieces(docs: DataFrame, tokenizer: str, size: int = 2048, end_id: int = 0, by_words: bool = True) -> DataFrame:
+    """doc_id, piece, start, length and ids (little-endian unsigned 32-bit) of every piece.
+
+    ``by_words`` is for tokenizers whose tokens never hold or depend on white space, as those that
+    cut texts into words first; for others the texts must be encoded whole.
+    """
 
     def cut(batches):
         import os
@@ -37,13 +63,13 @@ def pieces(docs: DataFrame, tokenizer: str, size: int = 2048, end_id: int = 0) -
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        encode = Tokenizer.from_file(tokenizer).encode_batch_fast
+        encode = word_encoder(Tokenizer.from_file(tokenizer)) if by_words else whole_encoder(Tokenizer.from_file(tokenizer))
         for batch in batches:
             keys, texts = batch.column(0).to_pylist(), [x or "" for x in batch.column(1).to_pylist()]
             for k in range(0, len(texts), 64):
                 out: list[tuple] = []
-                for key, found in zip(keys[k : k + 64], encode(texts[k : k + 64], add_special_tokens=False), strict=True):
-                    ids = np.array([*found.ids, end_id], "<u4")
+                for key, found in zip(keys[k : k + 64], encode(texts[k : k + 64]), strict=True):
+                    ids = np.array([*found, end_id], "<u4")
                     out += [(key, n, at, min(size, len(ids) - at), ids[at : at + size].tobytes()) for n, at in enumerate(range(0, len(ids), size))]
                 kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary())
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)], ["doc_id", "piece", "start", "length", "ids"])
