@@ -36,6 +36,7 @@ from rowforge.operators.scd2 import (
     scd2_changes,
     scd2_closed,
     scd2_history,
+    scd2_land,
     scd2_layer,
     scd2_merge,
     scd2_new,
@@ -89,6 +90,7 @@ __all__ = [
     "scd2_changes",
     "scd2_closed",
     "scd2_history",
+    "scd2_land",
     "scd2_layer",
     "scd2_merge",
     "scd2_new",

@@ -13,7 +13,9 @@ history row                            kept, never joined or shuffled
 =====================================  ==========================================
 
 Columns compare null-safe, so merging the same increment again changes nothing.
-The mart must hold at most one open row per key, which the merge preserves.
+The mart must hold at most one open row per key, which the merge preserves; a
+key with several fails the job, as does closing a row that starts after ``as_of``.
+With ``small_increment`` only keys of the increment are checked.
 """
 
 from __future__ import annotations
@@ -25,10 +27,11 @@ from dataclasses import dataclass, field
 from functools import reduce
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+from rowforge.sinks.tables import insert_table
 from rowforge.sources.tables import extract_table
 
 # End of validity that marks an open row.
@@ -143,6 +146,17 @@ def _one_per_key(increment: DataFrame, cfg: Scd2Config, columns: Sequence[str])
     return grouped.where(valid.otherwise(F.lit(True))).drop(COPIES)
 
 
+def _one_open(counted: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Fails the job where ``COPIES`` tells of several open rows for a key.
+
+    Rows whose key holds a null meet no increment row and are let through.
+    """
+    named = reduce(lambda a, b: a & b, (F.col(k).isNotNull() for k in keys))
+    message = F.concat(F.lit("several open mart rows for key "), F.to_json(F.struct(*keys)))
+    twice = F.when(named & (F.col(COPIES) > 1), F.raise_error(message))
+    return counted.where(twice.otherwise(F.lit(True))).drop(COPIES)
+
+
 def _matched(
     mart: DataFrame,
     increment: DataFrame,
@@ -166,13 +180,18 @@ def _matched(
     incoming = _one_per_key(typed, cfg, offered)
     if small_increment:
         # The mart only streams past the increment, which Spark broadcasts if
-        # its size allows; a second pass over the open keys finds the new ones.
+        # its size allows; a second pass over the open keys finds the new ones
+        # and refuses keys that are open more than once.
         met = current.join(incoming, keys, "left")
         known = current.select(*keys).join(incoming.select(*keys), keys, "left_semi")
-        fresh = incoming.join(known, keys, "left_anti")
+        counted = known.groupBy(*keys).agg(F.count(F.lit(1)).alias(COPIES))
+        fresh = incoming.join(_one_open(counted, keys), keys, "left_anti")
         blank = F.lit(None).cast(met.schema[OLD].dataType).alias(OLD)
         pairs = met.unionByName(fresh.select(*keys, blank, NEW))
     else:
+        # The count uses the exchange and the order that the join needs anyway.
+        copies = F.count(F.lit(1)).over(Window.partitionBy(*keys))
+        current = _one_open(current.withColumn(COPIES, copies), keys)
         pairs = current.join(incoming, keys, "full")
     differs = reduce(
         lambda a, b: a | b,
@@ -203,7 +222,9 @@ class _Versions:
         self.offered = set(increment.columns) - _replaced(cfg)
         self.audit = {c: _as_type(mart, c, v, cfg) for c, v in cfg.audit.items()}
         flag = [cfg.active_col] if cfg.active_col else []
-        self.ends = {cfg.to_col: _as_type(mart, cfg.to_col, as_of, cfg)}
+        end = _as_type(mart, cfg.to_col, as_of, cfg)
+        early = F.raise_error(F.lit(f"a row to close starts after {as_of}"))
+        self.ends = {cfg.to_col: F.when(self._starts_later(as_of), early).otherwise(end)}
         self.ends |= {c: F.lit(False) for c in flag}
         self.starts = {
             cfg.from_col: _as_type(mart, cfg.from_col, as_of, cfg),
@@ -211,6 +232,14 @@ class _Versions:
         }
         self.starts |= {c: F.lit(True) for c in flag}
 
+    def _starts_later(self, as_of: Any) -> Column:
+        """Whether the old row starts after ``as_of``; text that is no date is let through."""
+        old, limit = F.col(OLD)[self.cfg.from_col], _as_type(self.mart, self.cfg.from_col, as_of, self.cfg)
+        if isinstance(self.mart.schema[self.cfg.from_col].dataType, StringType):
+            form = F.lit(self.cfg.date_format)
+            return F.try_to_timestamp(old, form) > F.try_to_timestamp(limit, form)
+        return old > limit
+
     def _row(self, given: Mapping[str, Column], offered: set[str]) -> Column:
         """Given values first, then the increment's, then the old row's."""
 
@@ -298,8 +327,8 @@ def scd2_merge(
     enough for Spark to broadcast; the result is the same either way.
     ``with_history=False`` gives only the rows that took part in the join: the open
     rows after the merge and those closed by it. Old history is not among them, so never
-    overwrite partitions that hold history with this result: append the closed rows to the
-    history under their close date, and replace open rows only.
+    overwrite a mart or partitions that hold history with this result: ``scd2_land`` writes
+    a merge back to its own table.
     """
     _checked(mart, increment, cfg)
     versions = _Versions(mart, increment, cfg, as_of)
@@ -321,9 +350,36 @@ def scd2_layer(
     """Merge into the catalog table named by a JSON configuration; lazy, writes nothing.
 
     Spark refuses to overwrite a table while reading it: write the result to
-    another table with ``insert_table``.
+    another table with ``insert_table``, or merge in place with ``scd2_land``.
     """
     if not cfg.table:
         raise ValueError("the configuration names no table")
     mart = extract_table(spark, cfg.table, ["*"])
     return scd2_merge(mart, increment, cfg, as_of, **options)
+
+
+def scd2_land(
+    spark: SparkSession, increment: DataFrame, cfg: Scd2Config, as_of: Any, **options: Any
+) -> None:
+    """Merge into the configured catalog table in place, history included.
+
+    The whole merged mart is written to ``<table>_stage`` and the mart is replaced from
+    there. The stage enters the catalog only once it is complete and leaves it only
+    once the mart holds it, so after a failure at any point the next call first
+    finishes the load that was begun, then merges; merging an increment twice
+    changes nothing. One job at a time may land in a table.
+    """
+    if options.get("with_history") is False:
+        raise ValueError("landing a merge without history would lose it")
+    if not cfg.table:
+        raise ValueError("the configuration names no table")
+    stage = f"{cfg.table}_stage"
+
+    def replace_mart() -> None:
+        insert_table(spark.table(stage), cfg.table, mode="overwrite", whole_table=True)
+        spark.sql(f"DROP TABLE {stage}")
+
+    if spark.catalog.tableExists(stage):
+        replace_mart()
+    insert_table(scd2_layer(spark, increment, cfg, as_of, **options), stage)
+    replace_mart()

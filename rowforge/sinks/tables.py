@@ -18,13 +18,17 @@ def insert_table(
     mode: str = "append",
     fmt: str = "parquet",
     partition_cols: Sequence[str] = (),
+    whole_table: bool = False,
 ) -> None:
     """Insert into ``table``, creating it when absent.
 
     Columns are matched by name. Overwriting a partitioned table replaces only
-    the partitions present in ``df``. Before a partitioned write the rows are
+    the partitions present in ``df``, or all with ``whole_table``. Before a
+    partitioned write the rows are
     rebalanced by the partition columns: each date gets few files, and the
     rows of one very large partition value are still split over many tasks.
+    The session's overwrite mode is set for the time of the insert: use one
+    thread per session.
     """
     if not table:
         raise ValueError("table name must be specified")
@@ -48,7 +52,7 @@ def insert_table(
         return
     # An insert takes this mode from the session only, not from the writer.
     before = spark.conf.get(OVERWRITE_MODE)
-    spark.conf.set(OVERWRITE_MODE, "dynamic")
+    spark.conf.set(OVERWRITE_MODE, "static" if whole_table else "dynamic")
     try:
         writer.insertInto(table, overwrite=mode == "overwrite")
     finally:

@@ -14,6 +14,7 @@ from rowforge.operators import (
     scd2_changes,
     scd2_closed,
     scd2_history,
+    scd2_land,
     scd2_layer,
     scd2_merge,
     scd2_new,
@@ -260,6 +261,74 @@ def test_configured_merge_of_a_catalog_table(spark, tmp_path, text_mart, text_in
     assert rows(spark.table("scd2_mart_next")) == sorted(HISTORY + KEPT + CLOSED + OPENED, key=repr)
 
 
+LAND = Scd2Config(keys=["id"], tracked=["v"], active_col="act", table="land_mart")
+LAND_SCHEMA = "id int, v string, effective_from_dt date, effective_to_dt date, act boolean"
+
+
+@pytest.fixture
+def landing(spark):
+    d, end = dt.date, dt.date(9999, 12, 31)
+    for name in ("land_mart", "land_mart_stage"):
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+    mart = [
+        (1, "old", d(2020, 1, 1), d(2021, 1, 1), False),
+        (1, "now", d(2021, 1, 1), end, True),
+        (2, "gone", d(2020, 1, 1), d(2020, 6, 1), False),
+        (3, "still", d(2022, 1, 1), end, True),
+    ]
+    insert_table(spark.createDataFrame(mart, LAND_SCHEMA), "land_mart", partition_cols=["act"])
+    increment = spark.createDataFrame([(1, "next"), (4, "fresh")], "id int, v string")
+    closed = (1, "now", d(2021, 1, 1), AS_OF, False)
+    opened = [(1, "next", AS_OF, end, True), (4, "fresh", AS_OF, end, True)]
+    return increment, sorted([mart[0], closed, *mart[2:], *opened], key=repr)
+
+
+def test_landing_keeps_history_and_may_be_repeated(spark, landing):
+    increment, expected = landing
+    for _ in range(2):
+        scd2_land(spark, increment, LAND, AS_OF)
+        assert rows(spark.table("land_mart")) == expected
+        assert not spark.catalog.tableExists("land_mart_stage")
+    with pytest.raises(ValueError, match="history"):
+        scd2_land(spark, increment, LAND, AS_OF, with_history=False)
+
+
+def test_landing_resumes_after_a_failure_between_the_writes(spark, landing, monkeypatch):
+    increment, expected = landing
+
+    def fail(df, table, **options):
+        if table == "land_mart":
+            raise RuntimeError("lost")
+        insert_table(df, table, **options)
+
+    monkeypatch.setattr("rowforge.operators.scd2.insert_table", fail)
+    with pytest.raises(RuntimeError):
+        scd2_land(spark, increment, LAND, AS_OF)
+    monkeypatch.undo()
+    # the failed write may have emptied the mart
+    spark.sql("TRUNCATE TABLE land_mart")
+    scd2_land(spark, increment, LAND, AS_OF)
+    assert rows(spark.table("land_mart")) == expected
+
+
+@pytest.mark.parametrize("small", [False, True])
+def test_several_open_rows_per_key_are_refused(text_mart, text_increment, small):
+    twice = text_mart.union(text_mart)
+    with pytest.raises(Exception, match="several open mart rows for key"):
+        scd2_merge(twice, text_increment, TEXT, AS_OF, small_increment=small).collect()
+
+
+def test_closing_before_the_start_is_refused(spark, text_mart, text_increment):
+    with pytest.raises(Exception, match="starts after"):
+        scd2_merge(text_mart, text_increment, TEXT, dt.date(2018, 1, 1)).collect()
+    cfg = Scd2Config(keys=["id"], tracked=["v"], active_col="act")
+    mart = spark.createDataFrame([(1, "a", AS_OF, dt.date(9999, 12, 31), True)], LAND_SCHEMA)
+    increment = spark.createDataFrame([(1, "b")], "id int, v string")
+    assert len(scd2_merge(mart, increment, cfg, AS_OF).collect()) == 2
+    with pytest.raises(Exception, match="starts after"):
+        scd2_merge(mart, increment, cfg, AS_OF - dt.timedelta(1)).collect()
+
+
 def _brute_force(mart, increment, as_of, end):
     """The rules applied row by row, independently of Spark."""
     out, current = [], {}
