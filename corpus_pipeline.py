@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rowforge.llm import decontaminate, linededup, neardup, packing, toxicity
-from rowforge.llm.queries import MAX_SHARE, MIN_SITES, TOKENS, table, tokenizer_path
+from rowforge.llm.queries import MIN_SITES, TOKENS, table, tokenizer_path
 from rowforge.llm.shared import written
 
 ORACLE_SQL = None
@@ -24,8 +24,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_boilerplate_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without lines that many sites share."""
-    return linededup.remove_boilerplate(docs, MIN_SITES, MAX_SHARE).drop("n_lines", "n_removed").withColumn("n_chars", F.length("text").cast("long"))
+    """All documents, without lines that many sites share; only documents of nothing else keep them."""
+    return linededup.remove_boilerplate(docs, MIN_SITES, None).drop("n_lines", "n_removed").withColumn("n_chars", F.length("text").cast("long"))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

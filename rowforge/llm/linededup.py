@@ -3,8 +3,9 @@
 A line is a text between line feeds, without blanks around it. For each line hash a sketch of its sites is
 merged by aggregation; lines whose estimate is near the threshold get an exact distinct
 count. Lines found on at least ``min_sites`` sites are boilerplate and leave every document. A
-document whose characters are mostly such lines is a copy rather than a page with boilerplate:
-it is left whole, for near-duplicate removal to decide.
+document without a line of its own is a copy rather than a page with boilerplate: it is left
+whole, for near-duplicate removal to decide. With ``max_share`` so is every document in which such
+lines make up more than that share of the characters, though it may have lines of its own.
 
 Null texts stay null and empty ones empty; blank lines are never boilerplate. Null sites do not
 count. Lines repeated in one document or site count once for it. All other columns are kept.
@@ -31,7 +32,7 @@ def spread_lines(lines: DataFrame, min_sites: int) -> DataFrame:
     return sure.unionByName(exact)
 
 
-def remove_boilerplate(docs: DataFrame, min_sites: int = 8, max_share: float = 0.5, text: str = "text", site: str = "source") -> DataFrame:
+def remove_boilerplate(docs: DataFrame, min_sites: int = 8, max_share: float | None = 0.5, text: str = "text", site: str = "source") -> DataFrame:
     """``docs`` without boilerplate lines, plus n_lines and n_removed."""
     others = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
     row = F.struct(*others)
@@ -47,7 +48,8 @@ def remove_boilerplate(docs: DataFrame, min_sites: int = 8, max_share: float = 0
     removed = F.filter(whole, lambda x: (F.trim(x) != "") & bad(x))
     kept = F.filter(whole, lambda x: ~((F.trim(x) != "") & bad(x)))
     chars = lambda xs: F.aggregate(xs, F.lit(0).cast("bigint"), lambda n, x: n + F.length(F.trim(x)))
-    drop = F.col("_bad").isNotNull() & (chars(removed) <= F.lit(max_share) * chars(whole))
+    small = chars(removed) < chars(whole) if max_share is None else chars(removed) <= F.lit(max_share) * chars(whole)
+    drop = F.col("_bad").isNotNull() & small
     out = out.withColumn("_drop", F.coalesce(drop, F.lit(False)))
     clean = F.when(F.col("_drop"), F.array_join(kept, "\n")).otherwise(F.col(f"_row.`{text}`"))
     values = [clean.alias(c) if c == text else F.col(f"_row.`{c}`").alias(c) for c in others]

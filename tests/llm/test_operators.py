@@ -118,6 +118,22 @@ def test_boilerplate_leaves_and_copies_stay(spark):
     assert (out[20].text, out[21].text, out[22].text) == (None, "", "All rights reserved")
 
 
+def test_wide_lines_leave_documents_with_little_of_their_own(spark):
+    wide = " ".join(prose(1, 60))
+    rows = [(k, f"{wide}\nown {k}", f"s{k}") for k in range(5)] + [(9, wide, "s1"), (10, None, "s1")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    out = {r.doc_id: (r.text, r.n_removed) for r in linededup.remove_boilerplate(docs, 4, None).collect()}
+    assert out == {**{k: (f"own {k}", 1) for k in range(5)}, 9: (wide, 0), 10: (None, 0)}
+
+
+def test_pipeline_removes_wide_lines_beyond_half(spark):
+    import corpus_pipeline
+
+    wide = " ".join(prose(1, 60))
+    docs = documents(spark, [f"{wide}\nown {k}" for k in range(9)]).withColumn("source", F.concat(F.lit("s"), F.col("doc_id")))
+    assert {r.text for r in corpus_pipeline.drop_boilerplate_lines(spark, docs, "").collect()} == {f"own {k}" for k in range(9)}
+
+
 # decontamination
 
 
