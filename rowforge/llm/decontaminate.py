@@ -6,6 +6,7 @@ multiplies the Gram matrix with random vectors, another rotates the found space.
 as long as the items are compared with the items by cosine, from running sums of word vectors.
 Candidates are confirmed by the longest common subsequence of words: an item leaks if the
 window holds most of it in order, or half of it and its answer, the last words, in one run.
+Answers are found exactly, by hashes of runs, and the words around each are confirmed whatever their cosine.
 The subsequence cannot be longer than the number of the window's words that are the item's,
 so candidates below that bound need no confirmation.
 
@@ -27,7 +28,7 @@ from rowforge.llm.shared import written
 VOCABULARY, RANK, EXTRA, PASSAGE = 1 << 15, 64, 8, 32
 PLACES = 2048  # of the words of an item, for the bound on its candidates
 WORD = re.compile(r"\w+")
-WINDOWS = (4, 6, 9, 13, 18, 26, 38, 55, 80, 120, 180, 270, 400)
+WINDOWS = (4, 6, 9, 13, 18, 26, 38, 55, 80, 120, 180, 270, 400)  # and on by half, up to the longest item
 
 
 def _hashes(batches):
@@ -73,7 +74,8 @@ def weights(words: DataFrame) -> np.ndarray:
     found = words.select("words").mapInArrow(counts, "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).toArrow()
     n = np.zeros(VOCABULARY + 1, np.int64)
     n[found.column("at").to_numpy()] = found.column("n").to_numpy()
-    return np.log((n[-1] + 1.0) / (n[:-1] + 1.0)).astype(np.float32)
+    # above zero also for words that all documents hold
+    return np.log1p((n[-1] + 1.0) / (n[:-1] + 1.0)).astype(np.float32)
 
 
 def _passages(batch, scale, basis):
@@ -134,7 +136,9 @@ def latent(words: DataFrame, scale: np.ndarray) -> np.ndarray:
         small[r["at"]] = r["v"]
     values, vectors = np.linalg.eigh(small.reshape(width, width))
     values, vectors = values[::-1][:RANK], vectors[:, ::-1][:, :RANK]
-    return (scale[:, None] * (q @ (vectors / np.sqrt(np.maximum(values, 1e-6))))).astype(np.float32)
+    # directions that small tables do not have are left out
+    real = values > 1e-8 * max(values[0], 1e-6)
+    return (scale[:, None] * (q @ (vectors * np.where(real, 1 / np.sqrt(np.maximum(values, 1e-6)), 0.0)))).astype(np.float32)
 
 
 def common_in_order(item: list[int], window: list[int]) -> int:
@@ -185,9 +189,12 @@ def leaks(docs: DataFrame, benchmark: DataFrame, *, cosine: float = 0.5, least:
     for k in range(blocks):
         part = items.filter(F.pmod(F.xxhash64("id"), F.lit(blocks)) == k).collect()
         known = [(r.id, np.frombuffer(r.words, np.uint32)) for r in part]
+        windows = list(WINDOWS)
+        while windows[-1] < max((len(ids) for _, ids in known), default=0):
+            windows.append(windows[-1] * 3 // 2)
         groups: dict[int, list[int]] = {}
         for n, (_, ids) in enumerate(known):
-            groups.setdefault(min(WINDOWS, key=lambda w, size=len(ids): abs(np.log(w / size))), []).append(n)
+            groups.setdefault(min(windows, key=lambda w, size=len(ids): abs(np.log(w / size))), []).append(n)
         sent = spark.sparkContext.broadcast((vectors, known, groups))
 
         def search(batches, sent=sent):
@@ -206,12 +213,25 @@ def leaks(docs: DataFrame, benchmark: DataFrame, *, cosine: float = 0.5, least:
                 m = np.stack([latent_of[known[n][1] % VOCABULARY].sum(axis=0) for n in own])
                 marks[size] = (m / np.maximum(np.linalg.norm(m, axis=1, keepdims=True), 1e-9)).T, np.array(own), max(size, *lengths[own])
 
+            sizes = np.zeros(len(known), np.int64)
+            for size, own in groups.items():
+                sizes[own] = size
+
             def candidates(ids: np.ndarray):
-                """Item and place of each window close to the item and not below the bound."""
+                """Item and place of each window that holds the item's answer or is close to the item, and is not below the bound."""
                 need = np.ceil(least * lengths - 1e-9)
                 runs = tail_hashes(ids, answer)
-                for h in set(runs[np.isin(runs, endings)].tolist()):
+                hits = np.flatnonzero(np.isin(runs, endings))
+                for h in set(runs[hits].tolist()):
                     need[tails[h]] = np.minimum(need[tails[h]], np.ceil(0.5 * lengths[tails[h]]))
+                for at in hits.tolist():
+                    for n in tails[int(runs[at])]:
+                        size, wide = int(sizes[n]), max(int(sizes[n]), int(lengths[n]))
+                        # from windows that end with the answer to those that begin with it
+                        for start in range(at + answer - wide - wide // 2, at + wide // 2 + 1, max(1, wide // 2)):
+                            start = max(0, start)
+                            if holds[n, ids[max(0, start - wide // 2) : start + wide + wide // 2] % PLACES].sum() >= need[n]:
+                                yield n, start, size
                 for lo in range(0, len(ids), 20_000):
                     stretch = ids[lo : lo + 20_000 + 2 * max(marks, default=1)]
                     sums = np.zeros((len(stretch) + 1, RANK), np.float32)
@@ -228,8 +248,9 @@ def leaks(docs: DataFrame, benchmark: DataFrame, *, cosine: float = 0.5, least:
                         near = np.full(len(stretch) + 3 * wide + 1, PLACES)
                         near[left - lo + wide :][: len(ids[left:right])] = ids[left:right] % PLACES
                         around = np.arange(wide - wide // 2, 2 * wide + wide // 2 + 1)
-                        for k in range(0, len(s), 10_000):
-                            at, item = starts[s[k : k + 10_000]], own[n[k : k + 10_000]]
+                        many = max(1, min(10_000, 8_000_000 // len(around)))
+                        for k in range(0, len(s), many):
+                            at, item = starts[s[k : k + many]], own[n[k : k + many]]
                             kept = holds[item[:, None], near[at[:, None] + around]].sum(axis=1) >= need[item]
                             yield from zip(item[kept].tolist(), (at[kept] + lo).tolist(), [size] * int(kept.sum()), strict=True)
 

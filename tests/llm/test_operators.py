@@ -155,6 +155,33 @@ def test_leaks_and_paraphrases(spark):
     assert found == truth
 
 
+def test_paraphrases_with_their_answer(spark):
+    rng = np.random.default_rng(8)
+    texts, items, truth = [], [], set()
+    for k in range(100):
+        share, size = (0.5, 0.55, 0.6, 0.7)[k % 4], 20 + k % 40
+        item = prose(3000 + k, size)
+        own = np.sort(rng.choice(size - 5, -int(-share * size // 1) - 5, replace=False)).tolist()
+        held = {*own, *range(size - 5, size)}
+        # every other one loses its words, the others have them replaced
+        loose = [w if n in held else f"x{k}{n}" for n, w in enumerate(item) if n in held or k % 2]
+        words = prose(k, 200)
+        words[90:90] = loose
+        items.append((k, " ".join(item)))
+        texts.append(" ".join(words))
+        truth.add((k, k))
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    assert {(r.doc_id, r.item_id) for r in decontaminate.leaks(documents(spark, texts), bench).collect()} == truth
+
+
+def test_leaks_in_a_table_of_one_document_and_of_long_items(spark):
+    item, long = prose(1, 24), [f"w{k % 7}{k}" for k in range(1500)]
+    loose = [w for n, w in enumerate(item) if n % 8]
+    bench = spark.createDataFrame([(1, " ".join(item[:8])), (2, " ".join(item)), (3, " ".join(long))], "item_id long, text string")
+    found = [decontaminate.leaks(documents(spark, [" ".join(prose(2, 40) + x + prose(3, 40))]), bench) for x in (item[:8], loose, [w for n, w in enumerate(long) if n % 5])]
+    assert [{r.item_id for r in f.collect()} for f in found] == [{1}, {1, 2}, {3}]
+
+
 def test_common_subsequence_by_dynamic_programme():
     rng = np.random.default_rng(2)
     for _ in range(50):
