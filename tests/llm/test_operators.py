@@ -237,6 +237,15 @@ def test_marked_pages_and_host_repeats(spark):
     assert (text[10], text[11], text[12]) == ("", "", own[3])
 
 
+def test_footers_longer_than_the_articles_leave(spark):
+    own, legal = [" ".join(prose(50 + k, 25)) for k in range(4)], " ".join(prose(77, 120))
+    rows = [(k, "https://h.example/x", f"<div>{own[k]}</div><div>{legal}</div>") for k in range(4)]
+    # the same article read again on another day
+    rows.append((9, "https://h.example/y", f"<div>Read on Monday</div><div>{own[3]}</div><div>{legal}</div>"))
+    text = {r.page_id: r.text for r in html_text.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert text == {**dict(enumerate(own)), 9: f"Read on Monday\n\n{own[3]}"}
+
+
 # language
 
 
