@@ -246,6 +246,17 @@ def test_footers_longer_than_the_articles_leave(spark):
     assert text == {**dict(enumerate(own)), 9: f"Read on Monday\n\n{own[3]}"}
 
 
+def test_marked_names_leave_the_article():
+    text = lambda page: " ".join(b for b, m in zip(*html_text.blocks(page), strict=True) if m)
+    assert text('<div class="site-header">S</div><article><header class="entry-header"><h1>A</h1></header><div class="post-header"><h2>B</h2></div><p>C</article>') == "A B C"
+    assert text('<article><p class="notice">Buy<p>One</p><p>Two</p></article>') == "One Two"
+    assert text('<article><p class="notice">Buy<p>One<p>Two</p></article><p class="ad">x') == "One Two"
+    assert text('<main><ul><li>a<li class="share">Buy <b>now<ul><li>in</li></ul><li>b</ul><p>c</p></main>') == "a b c"
+    assert text('<main><ul><li class="share">Buy</ul><p>c</p></main>') == "c"
+    assert text('<main><table><tr><td class="ad">Buy<td>x<tr><td>y</table><dl><dt>t<dd class="ad">Buy</dl>z</main>') == "x y t z"
+    assert text('<article><p>Four <div class="ad">Buy</p><div>in</div></div> five</article>') == "Four five"
+
+
 # language
 
 
