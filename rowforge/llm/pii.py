@@ -22,7 +22,10 @@ DATE = r"(?<![\d.-])(?:19|20)\d\d-(?:0[1-9]|1[0-2])-(?:0[1-9]|[12]\d|3[01])(?![\
 ADDRESS = r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\d]|\.\d)"
 SOCIAL = r"(?<![\d-])(?!000|666|9)\d{3}-(?!00)\d\d-(?!0000)\d{4}(?![\d-])"
 PHONE = r"(?<![\d+])(?:\+\d{1,3}[ .-]?)?(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}(?!\d)"
-CARD = r"(?<![\d])(?:\d[ -]?){12,18}\d(?!\d)"
+# a run of digit groups that may hold cards beside other numbers, up to where another kind begins
+CARD = rf"(?<!\d)\d(?:[ -]?+(?!{DATE}|{ADDRESS}|{SOCIAL}|{PHONE}|(?<!\d)[A-Za-z0-9._%+-]++@)\d){{12,}}+"
+GROUPED = r"^(?:\d{4}[ -]\d{4}[ -]\d{4}[ -]\d{4}|\d{4}[ -]\d{6}[ -]\d{4,5}|\d{13,19})$"
+LOOSE = r"^\d{3,}(?:[ -]\d{3,})*$"
 ANY = "|".join((EMAIL, DATE, ADDRESS, SOCIAL, PHONE, CARD))
 
 
@@ -69,11 +72,46 @@ def refilled(shape: Column, new: Column) -> Column:
     return F.aggregate(F.split(shape, ""), start, step, lambda s: s["out"])
 
 
-def card(found: Column, key: str) -> Column:
-    plain = F.regexp_replace(found, r"[^0-9]", "")
+def valid(number: Column) -> Column:
+    plain = F.regexp_replace(number, r"[^0-9]", "")
+    return F.when(F.length(plain).between(13, 19), luhn_sum(plain) % 10 == 0).otherwise(False)
+
+
+def permuted(number: Column, key: str) -> Column:
+    plain = F.regexp_replace(number, r"[^0-9]", "")
     body = digits(F.substr(plain, F.lit(1), F.length(plain) - 1), key, "card")
     check = F.pmod(10 - luhn_sum(F.concat(body, F.lit("0"))) % 10, F.lit(10)).cast("string")
-    return F.when(luhn_sum(plain) % 10 == 0, refilled(found, F.concat(body, check))).otherwise(found)
+    return refilled(number, F.concat(body, check))
+
+
+def cards_within(found: Column, key: str, shape: str) -> Column:
+    """``found`` with each valid number of the shape, made of whole groups of digits, permuted; the leftmost and longest first."""
+    groups = F.regexp_extract_all(found, F.lit(r"[0-9]+[ -]?"), F.lit(0))
+
+    def scan(g):
+        def step(s, i):
+            spans = F.transform(F.sequence(F.lit(6), F.lit(1), F.lit(-1)), lambda k: F.regexp_replace(F.array_join(F.slice(g, i, k), ""), "[ -]$", ""))
+            number = F.get(F.filter(spans, lambda x: F.when(x.rlike(shape), valid(x)).otherwise(False)), F.lit(0))
+
+            def put(x):
+                after = i + F.size(F.split(x, "[ -]"))
+                behind = F.regexp_extract(F.element_at(g, after - 1), "[ -]$", 0)
+                found = F.struct(after.alias("at"), F.concat(s["out"], permuted(x, key), behind).alias("out"))
+                return F.when(x.isNull(), F.struct((i + 1).alias("at"), F.concat(s["out"], F.element_at(g, i)).alias("out"))).otherwise(found)
+
+            return F.when(i < s["at"], s).otherwise(F.transform(F.array(number), put)[0])
+
+        return F.aggregate(F.sequence(F.lit(1), F.size(g)), F.struct(F.lit(1).alias("at"), F.lit("").alias("out")), step, lambda s: s["out"])
+
+    return F.transform(F.array(groups), scan)[0]
+
+
+def card(found: Column, key: str) -> Column:
+    """Numbers grouped as cards are, or else the whole run, or else any valid part of groups of three digits or more."""
+    def pick(grouped):
+        return F.when(grouped != found, grouped).when(valid(found), permuted(found, key)).otherwise(cards_within(found, key, LOOSE))
+
+    return F.transform(F.array(cards_within(found, key, GROUPED)), pick)[0]
 
 
 def phone(found: Column, key: str) -> Column:

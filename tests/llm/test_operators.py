@@ -344,6 +344,21 @@ def test_pseudonyms_keep_format_and_links(spark, kind):
         assert (sum(d[::2]) + sum(x * 2 % 10 + x // 5 for x in d[1::2])) % 10 == 0
 
 
+def test_cards_beside_other_numbers_keep_their_link(spark):
+    shapes = ["{}", "{} 123", "{} 12/27", "7 {}", "12 {} 123", "1234 {}", "{} {}", "{} 2024-05-01", "{} 555-123-4567", "{} 1234567@x.example"]
+    texts = [x.replace("{}", c) for x in shapes for c in ("4111111111111111", "4111 1111 1111 1111")] + ["41111111 11111111 123", "3782 822463 10005 1234", "1 2 3 4 5 6"]
+    out = [r.text for r in pii.pseudonymise(documents(spark, texts), "k").orderBy("doc_id").collect()]
+    new = {"4111111111111111": out[0], "4111 1111 1111 1111": out[1]}
+    assert new["4111 1111 1111 1111"].replace(" ", "") == out[0] != "4111111111111111"
+    for before, after in zip(texts[:-3], out, strict=False):
+        for c in new:
+            before = before.replace(c, new[c])
+        kept = len(before) if before[-1] != "1" and before[-4:] != "4567" and "@" not in before else len(out[0])
+        assert after[:kept] == before[:kept] and len(after) == len(before)
+        assert before.endswith(("123", "12/27")) or kept == len(before) or after != before
+    assert out[-3] == f"{out[0][:8]} {out[0][8:]} 123" and out[-2].endswith(" 1234") and out[-2] != texts[-2] and out[-1] == texts[-1]
+
+
 def test_feistel_permutes_its_domain(spark):
     n = spark.range(319 * 229).select(pii.feistel(F.floor(F.col("id") / 229), F.col("id") % 229, F.lit(319), F.lit(229), "k", "date").alias("x"))
     assert n.distinct().count() == 319 * 229
