@@ -7,7 +7,7 @@ backslash behind its ``<``, which reading back takes away again. Spans under the
 mask cover the assistants' texts.
 
 A null record or one of an unknown layout has no turns and an empty output. Null texts are empty, null roles
-``user``; line feeds in a role become blanks. Layouts may hold further fields only where a mapping
+``user``. A record too long for a variant fails the job; line feeds in a role become blanks. Layouts may hold further fields only where a mapping
 lists them. Rows are formatted one by one, so repeated rows give repeated results.
 """
 
@@ -18,6 +18,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+LIMIT = 128 << 20  # bytes of a variant
 TURNS = "array<struct<role string, text string>>"
 
 
@@ -111,7 +112,9 @@ def read_back(text: Column) -> Column:
 
 def format_records(records: DataFrame, record: str = "record", layouts: tuple[Layout, ...] = LAYOUTS) -> DataFrame:
     """``records`` with fingerprint, formatted and loss_spans for each JSON text."""
-    out = records.withColumn("fingerprint", fingerprint(F.col(record))).withColumn("_turns", turns(F.col(record), layouts))
+    lost = (F.octet_length(record) > LIMIT) & F.try_parse_json(F.col(record)).isNull()
+    held = F.when(lost, F.raise_error(F.lit("a record is longer than a variant can be")).cast("string")).otherwise(F.col(record))
+    out = records.withColumn("fingerprint", fingerprint(held)).withColumn("_turns", turns(held, layouts))
     return out.withColumn("formatted", formatted(F.col("_turns"))).withColumn("loss_spans", loss_spans(F.col("_turns"))).drop("_turns")
 
 

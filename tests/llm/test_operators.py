@@ -326,6 +326,14 @@ def test_layouts_and_control_strings(spark):
     assert digest[1].loss_chars == len(bad) and digest[2].loss_chars == 2
 
 
+def test_records_too_long_to_parse_fail(spark, monkeypatch):
+    monkeypatch.setattr(chat, "LIMIT", 30)
+    fine = spark.createDataFrame([(1, "no json"), (2, '{"prompt":"p","completion":"a longer one"}')], "conv_id long, record string")
+    assert len(chat.format_records(fine).collect()) == 2
+    with pytest.raises(Exception, match="longer than a variant"):
+        chat.format_records(spark.createDataFrame([(1, "x" * 31)], "conv_id long, record string")).collect()
+
+
 # pseudonyms
 
 
