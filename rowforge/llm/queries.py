@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowforge.llm import ann, chat, decontaminate, html_text, langid, linededup, neardup, packing, pii, toxicity
+from rowforge.llm import ann, chat, decontaminate, divergence, exactdedup, html_text, langid, linededup, neardup, packing, pii, ranked, toxicity
 from rowforge.llm.shared import fold
 
 MIN_SITES, MAX_SHARE, TOKENS = 8, 0.5, 2048
@@ -81,5 +81,32 @@ def op10_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pseudonymise(table(spark, sf_dir, "documents"), "rowforge-key-1")
 
 
-QUERIES = {f.__name__: f for f in (op1_nearest_neighbours, op2_main_text, op3_decontaminate, op4_language_id, op5_pattern_packing, op6_line_dedup, op7_toxicity, op8_chat_format, op9_near_duplicates, op10_pseudonyms)}
-ORACLES = {"op6_line_dedup": linededup.boilerplate_sql("documents", MIN_SITES, MAX_SHARE), "op8_chat_format": chat.DIGEST_SQL}
+def op11_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The row that stays for every document, among texts equal but for case."""
+    return exactdedup.exact_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How far the sources of each language diverge, and the terms that each uses most above it."""
+    return divergence.divergence(table(spark, sf_dir, "documents"))
+
+
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents for every benchmark item."""
+    return ranked.ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_nearest_neighbours, op2_main_text, op3_decontaminate, op4_language_id, op5_pattern_packing, op6_line_dedup, op7_toxicity,
+        op8_chat_format, op9_near_duplicates, op10_pseudonyms, op11_exact_dedup, op12_source_divergence, op13_ranked_search,
+    )
+}
+ORACLES = {
+    "op6_line_dedup": linededup.boilerplate_sql("documents", MIN_SITES, MAX_SHARE),
+    "op8_chat_format": chat.DIGEST_SQL,
+    "op11_exact_dedup": exactdedup.duplicates_sql("documents"),
+    "op12_source_divergence": divergence.divergence_sql("documents"),
+    "op13_ranked_search": ranked.ranked_sql("documents", "benchmark"),
+}
