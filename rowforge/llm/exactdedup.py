@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from rowforge.llm.shared import discard, written
 
 SLOTS, KICKS, SLICES, PER_SHARD = 4, 200, 16, 8192
-EXPLODE = 1 << 16
+EXPLODE, SENT = 1 << 16, 1 << 20
 STEP = "shard long, kind string, key binary, log2 int, live long, slots binary"
 ARRIVED, HIT, BLOCK, OVERFLOW = "new", "hit", "block", "overflow"
 
@@ -259,33 +259,46 @@ def contains(index: DedupIndex, docs: DataFrame) -> DataFrame:
         return _frame(int(questions["shard"][0]) if len(questions) else 0, rows)
 
     maybe = written(_by_shard(asked.select("shard", "key").distinct(), index.filters, look).select("key"), "dedup-maybe")
-    live = index.rows.join(maybe, "key", "left_semi").select("key", "content").distinct().withColumn("found", F.lit(True))
+    live = _under(index.rows, maybe).select("key", "content").distinct().withColumn("found", F.lit(True))
     sought = asked.join(maybe, "key", "left_semi").select("key", "content").distinct()
+    # equal contents, not equal digests, make an answer
     verified = sought.join(live, ["key", "content"]).select(F.col("key").alias("_key"), F.sha2("content", 256).alias("_sha"), "found")
     out = asked.select("doc_id", "key", "text_sha256").join(verified, (F.col("key") == F.col("_key")) & (F.col("text_sha256") == F.col("_sha")), "left")
     return out.select("doc_id", F.coalesce("found", F.lit(False)).alias("found"))
 
 
+def _under(rows: DataFrame, keys: DataFrame) -> DataFrame:
+    """Rows whose key is among ``keys``, and perhaps a few whose key only has an equal hash.
+
+    Up to ``SENT`` hashes are sent to all tasks, so that contents do not travel; beyond, they are joined.
+    """
+    hashes = keys.select(F.xxhash64("key").alias("_hash")).distinct()
+    hashes = F.broadcast(hashes) if keys.count() <= SENT else hashes
+    return rows.withColumn("_hash", F.xxhash64("key")).join(hashes, "_hash", "left_semi").drop("_hash")
+
+
 def groups(index: DedupIndex) -> DataFrame:
     """Every live row: doc_id, keep_id, group_size, kept, text_sha256.
 
     Only contents under keys that were hit are read; equal ones are combined before they travel.
     """
-    alike = index.rows.join(index.repeated, "key", "left_semi")
-    classes = alike.groupBy("key", "content").agg(F.max("doc_id").alias("keep_id"), F.count("*").alias("group_size"))
-    classes = written(classes, "dedup-classes")
-    one = classes.groupBy("key").agg(F.count("*").alias("texts"), F.first("keep_id").alias("keep_id"), F.first("group_size").alias("group_size"))
+    def classes(keys: DataFrame) -> DataFrame:
+        return _under(index.rows, keys).groupBy("key", "content").agg(F.max("doc_id").alias("keep_id"), F.count("*").alias("group_size"))
+
+    one = classes(index.repeated).groupBy("key").agg(F.count("*").alias("texts"), F.first("keep_id").alias("keep_id"), F.first("group_size").alias("group_size"))
+    one = written(one, "dedup-classes")
     # rows equal in id and text are told apart by number, in two steps as they may be many
     rows = index.rows.groupBy("key", "text_sha256", "doc_id").agg(F.count("*").alias("times"))
     light = rows.join(one, "key", "left")
     alone = F.col("texts").isNull()
     keep = F.when(alone, F.col("doc_id")).otherwise(F.col("keep_id")).alias("keep_id")
     # a row without partners, repeated in itself, was an arrival of several rows and so has a class
-    plain = light.filter(alone | (F.col("texts") == 1)).select("text_sha256", "doc_id", keep, F.coalesce("group_size", "times").alias("group_size"), "times")
-    # different texts under one digest: the rows look for their own text
+    members = light.filter(alone | (F.col("texts") == 1)).select("text_sha256", "doc_id", keep, F.coalesce("group_size", "times").alias("group_size"), "times")
     clash = one.filter("texts > 1").select("key")
-    apart = index.rows.join(clash, "key", "left_semi").join(classes.join(clash, "key", "left_semi"), ["key", "content"])
-    members = plain.unionByName(apart.groupBy("text_sha256", "doc_id", "keep_id", "group_size").agg(F.count("*").alias("times")))
+    if not clash.isEmpty():
+        # different texts under one digest: the rows look for their own text
+        apart = _under(index.rows, clash).join(clash, "key", "left_semi").join(classes(clash), ["key", "content"])
+        members = members.unionByName(apart.groupBy("text_sha256", "doc_id", "keep_id", "group_size").agg(F.count("*").alias("times")))
     part = F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("times") - 1) / EXPLODE)))
     here = F.least(F.lit(EXPLODE).cast("long"), F.col("times") - F.col("_part") * EXPLODE)
     number = F.explode(F.sequence(F.lit(1).cast("long"), here))

@@ -59,8 +59,9 @@ def shuffled(n, seed=1):
     return rows
 
 
-@pytest.mark.parametrize("key_bytes", [32, 1])
-def test_groups_match_brute_force_also_with_clashing_digests(spark, key_bytes):
+@pytest.mark.parametrize(("key_bytes", "sent"), [(32, exactdedup.SENT), (1, 0)])
+def test_groups_match_brute_force_also_with_clashing_digests(spark, monkeypatch, key_bytes, sent):
+    monkeypatch.setattr(exactdedup, "SENT", sent)
     rows = shuffled(80) + [(1000 + k, f"own text {k % 400}") for k in range(600)]
     docs = frame(spark, [(i, t, "en", "s") for i, t in rows])
     index = exactdedup.insert(exactdedup.create(spark, docs, 4000, per_shard=500, key_bytes=key_bytes), docs, log2=4)
