@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowforge.llm.shared import discard, written
+from rowforge.llm.shared import discard, sliced, written
 
 SLOTS, KICKS, SLICES, PER_SHARD = 4, 200, 16, 8192
 EXPLODE, SENT = 1 << 16, 1 << 20
@@ -116,12 +116,14 @@ class DedupIndex:
 def _digests(key_bytes: int):
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [(t or b"").lower() for t in batch.column(1).to_pylist()]
-            shas = [hashlib.sha256(t) for t in texts]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([s.digest()[:key_bytes] for s in shas], pa.binary()), pa.array([s.hexdigest() for s in shas]), pa.array(texts, pa.binary())],
-                ["doc_id", "key", "text_sha256", "content"],
-            )
+            done = 0
+            for texts in sliced([(t or b"").lower() for t in batch.column(1).to_pylist()], 1 << 22):
+                shas = [hashlib.sha256(t) for t in texts]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(done, len(texts)), pa.array([s.digest()[:key_bytes] for s in shas], pa.binary()), pa.array([s.hexdigest() for s in shas]), pa.array(texts, pa.binary())],
+                    ["doc_id", "key", "text_sha256", "content"],
+                )
+                done += len(texts)
 
     return digest
 
