@@ -40,13 +40,15 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     said: dict[tuple[str, str], Counter] = {}
     held: dict[tuple[str, str], Counter] = {}
 
-    def flush() -> pa.RecordBatch:
-        rows = [(lang, source, t, n, held[lang, source][t]) for (lang, source), c in said.items() for t, n in c.items()]
-        said.clear()
-        held.clear()
-        columns = list(zip(*rows, strict=True)) or [[]] * 5
-        kinds = (pa.string(), pa.string(), pa.binary(), pa.int64(), pa.int64())
-        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["lang", "source", "term", "n", "docs"])
+    def flush() -> Iterator[pa.RecordBatch]:
+        while said:
+            (lang, source), counts = said.popitem()
+            docs = held.pop((lang, source))
+            n = len(counts)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([lang] * n, pa.string()), pa.array([source] * n, pa.string()), pa.array(counts.keys(), pa.binary()), pa.array(counts.values(), pa.int64()), pa.array(map(docs.__getitem__, counts), pa.int64())],
+                ["lang", "source", "term", "n", "docs"],
+            )
 
     for batch in batches:
         for lang, source, text in zip(*(batch.column(k) for k in range(3)), strict=True):
@@ -55,10 +57,10 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             said.setdefault(group, Counter()).update(words)
             held.setdefault(group, Counter()).update(set(words))
             if len(words) > FLUSH:
-                yield flush()
+                yield from flush()
         if sum(map(len, said.values())) > FLUSH:
-            yield flush()
-    yield flush()
+            yield from flush()
+    yield from flush()
 
 
 def _joint(frame: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
