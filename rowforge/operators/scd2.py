@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from rowforge.sinks.tables import insert_table
+from rowforge.sinks.landing import land_table
 from rowforge.sources.tables import extract_table
 
 # End of validity that marks an open row.
@@ -363,23 +363,13 @@ def scd2_land(
 ) -> None:
     """Merge into the configured catalog table in place, history included.
 
-    The whole merged mart is written to ``<table>_stage`` and the mart is replaced from
-    there. The stage enters the catalog only once it is complete and leaves it only
-    once the mart holds it, so after a failure at any point the next call first
-    finishes the load that was begun, then merges; merging an increment twice
-    changes nothing. One job at a time may land in a table.
+    The merged mart is landed by ``land_table``: whatever moment a job is lost at, the next call first
+    finishes or forgets the landing that was begun, then merges; merging an increment
+    twice changes nothing. A mart bucketed by its keys stays so, and neither the merge nor the
+    landing shuffles it. One job at a time may land in a table.
     """
     if options.get("with_history") is False:
         raise ValueError("landing a merge without history would lose it")
     if not cfg.table:
         raise ValueError("the configuration names no table")
-    stage = f"{cfg.table}_stage"
-
-    def replace_mart() -> None:
-        insert_table(spark.table(stage), cfg.table, mode="overwrite", whole_table=True)
-        spark.sql(f"DROP TABLE {stage}")
-
-    if spark.catalog.tableExists(stage):
-        replace_mart()
-    insert_table(scd2_layer(spark, increment, cfg, as_of, **options), stage)
-    replace_mart()
+    land_table(spark, cfg.table, lambda mart: scd2_merge(mart, increment, cfg, as_of, **options))

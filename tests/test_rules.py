@@ -70,7 +70,7 @@ def test_units(spark):
     converted = lengths.select(convert_unit("v", "u", "m"), convert_unit("v", "u", "cm"), is_at_least("v", "u"))
     assert [tuple(r) for r in converted.collect()] == [
         (2000.0, 200000.0, True),
-        (312.5, 25934.0, True),
+        (312.5, 31250.0, True),
         (2.0, 180.0, True),
         (2.0, 150.0, False),
         (None, None, None),

@@ -14,7 +14,6 @@ from rowforge.operators import (
     scd2_changes,
     scd2_closed,
     scd2_history,
-    scd2_land,
     scd2_layer,
     scd2_merge,
     scd2_new,
@@ -106,38 +105,36 @@ FLAG = Scd2Config(
 
 
 def test_flag_variant(spark):
-    day, end = (lambda *a: dt.datetime(*a)), dt.datetime(5999, 12, 31)
-    now = dt.datetime(2024, 5, 1, 10, 30)
+    """Two history rows of one key, a key the increment lacks, a null turned into a value, and a value into a null."""
+    at, end, now = dt.datetime, dt.datetime(5999, 12, 31), dt.datetime(2024, 5, 1, 10, 30)
+    history = [
+        ("b", "trial", None, "north", at(2019, 1, 1), at(2019, 4, 1), False),
+        ("b", "paid", "b@x.test", "north", at(2019, 4, 1), at(2021, 1, 1), False),
+    ]
+    untouched = [
+        ("a", "paid", "a@x.test", "west", at(2023, 3, 3), end, True),
+        ("e", None, None, "south", at(2020, 2, 29), end, True),
+    ]
+    filled = ("c", "paid", None, "east", at(2022, 8, 8), end, True)
+    emptied = ("d", "trial", "d@x.test", "east", at(2022, 9, 9, 9), end, True)
     mart = spark.createDataFrame(
-        [
-            (47, "plain", "ines@mail.test", "4 Mill Row", day(2022, 2, 14), end, True),
-            (54, "plain", "otto@mail.test", "17 Oak Court", day(2022, 6, 3), day(2023, 9, 17), False),
-            (61, "gold", "pia@mail.test", "2 Hill Rise", day(2022, 11, 20), end, True),
-        ],
-        "customer_id int, client_type string, email string, address string, "
+        [untouched[0], emptied, history[1], filled, untouched[1], history[0]],
+        "customer_id string, client_type string, email string, address string, "
         "effective_from_dt timestamp, effective_to_dt timestamp, is_active boolean",
     )
     increment = spark.createDataFrame(
-        [
-            (47, "gold", "ines.moved@mail.test", "9 Quay Lane"),
-            (54, "plain", "otto.back@mail.test", "30 Canal Walk"),
-            (68, "gold", "ravi@mail.test", "8 Fern Close"),
-            (61, "gold", "pia@mail.test", "2 Hill Rise"),
-        ],
-        "customer_id int, client_type string, email string, address string",
+        [("e", None, None, "south"), ("d", "trial", None, "east"), ("b", "paid", "b@x.test", "north"), ("c", "paid", "c@x.test", "east"), ("f", None, "f@x.test", None)],
+        "customer_id string, client_type string, email string, address string",
     )
+    closed = [(*row[:5], now, False) for row in (filled, emptied)]
+    opened = [
+        ("b", "paid", "b@x.test", "north", now, end, True),
+        ("c", "paid", "c@x.test", "east", now, end, True),
+        ("d", "trial", None, "east", now, end, True),
+        ("f", None, "f@x.test", None, now, end, True),
+    ]
     merged = rows(scd2_merge(mart, increment, FLAG, now))
-    assert merged == sorted(
-        [
-            (47, "plain", "ines@mail.test", "4 Mill Row", day(2022, 2, 14), now, False),
-            (47, "gold", "ines.moved@mail.test", "9 Quay Lane", now, end, True),
-            (54, "plain", "otto@mail.test", "17 Oak Court", day(2022, 6, 3), day(2023, 9, 17), False),
-            (54, "plain", "otto.back@mail.test", "30 Canal Walk", now, end, True),
-            (61, "gold", "pia@mail.test", "2 Hill Rise", day(2022, 11, 20), end, True),
-            (68, "gold", "ravi@mail.test", "8 Fern Close", now, end, True),
-        ],
-        key=repr,
-    )
+    assert merged == sorted([*history, *untouched, *closed, *opened], key=repr)
 
 
 def test_audit_columns_are_typed_and_spare_history(spark):
@@ -261,56 +258,6 @@ def test_configured_merge_of_a_catalog_table(spark, tmp_path, text_mart, text_in
     assert rows(spark.table("scd2_mart_next")) == sorted(HISTORY + KEPT + CLOSED + OPENED, key=repr)
 
 
-LAND = Scd2Config(keys=["id"], tracked=["v"], active_col="act", table="land_mart")
-LAND_SCHEMA = "id int, v string, effective_from_dt date, effective_to_dt date, act boolean"
-
-
-@pytest.fixture
-def landing(spark):
-    d, end = dt.date, dt.date(9999, 12, 31)
-    for name in ("land_mart", "land_mart_stage"):
-        spark.sql(f"DROP TABLE IF EXISTS {name}")
-    mart = [
-        (1, "old", d(2020, 1, 1), d(2021, 1, 1), False),
-        (1, "now", d(2021, 1, 1), end, True),
-        (2, "gone", d(2020, 1, 1), d(2020, 6, 1), False),
-        (3, "still", d(2022, 1, 1), end, True),
-    ]
-    insert_table(spark.createDataFrame(mart, LAND_SCHEMA), "land_mart", partition_cols=["act"])
-    increment = spark.createDataFrame([(1, "next"), (4, "fresh")], "id int, v string")
-    closed = (1, "now", d(2021, 1, 1), AS_OF, False)
-    opened = [(1, "next", AS_OF, end, True), (4, "fresh", AS_OF, end, True)]
-    return increment, sorted([mart[0], closed, *mart[2:], *opened], key=repr)
-
-
-def test_landing_keeps_history_and_may_be_repeated(spark, landing):
-    increment, expected = landing
-    for _ in range(2):
-        scd2_land(spark, increment, LAND, AS_OF)
-        assert rows(spark.table("land_mart")) == expected
-        assert not spark.catalog.tableExists("land_mart_stage")
-    with pytest.raises(ValueError, match="history"):
-        scd2_land(spark, increment, LAND, AS_OF, with_history=False)
-
-
-def test_landing_resumes_after_a_failure_between_the_writes(spark, landing, monkeypatch):
-    increment, expected = landing
-
-    def fail(df, table, **options):
-        if table == "land_mart":
-            raise RuntimeError("lost")
-        insert_table(df, table, **options)
-
-    monkeypatch.setattr("rowforge.operators.scd2.insert_table", fail)
-    with pytest.raises(RuntimeError):
-        scd2_land(spark, increment, LAND, AS_OF)
-    monkeypatch.undo()
-    # the failed write may have emptied the mart
-    spark.sql("TRUNCATE TABLE land_mart")
-    scd2_land(spark, increment, LAND, AS_OF)
-    assert rows(spark.table("land_mart")) == expected
-
-
 @pytest.mark.parametrize("small", [False, True])
 def test_several_open_rows_per_key_are_refused(text_mart, text_increment, small):
     twice = text_mart.union(text_mart)
@@ -322,7 +269,8 @@ def test_closing_before_the_start_is_refused(spark, text_mart, text_increment):
     with pytest.raises(Exception, match="starts after"):
         scd2_merge(text_mart, text_increment, TEXT, dt.date(2018, 1, 1)).collect()
     cfg = Scd2Config(keys=["id"], tracked=["v"], active_col="act")
-    mart = spark.createDataFrame([(1, "a", AS_OF, dt.date(9999, 12, 31), True)], LAND_SCHEMA)
+    schema = "id int, v string, effective_from_dt date, effective_to_dt date, act boolean"
+    mart = spark.createDataFrame([(1, "a", AS_OF, dt.date(9999, 12, 31), True)], schema)
     increment = spark.createDataFrame([(1, "b")], "id int, v string")
     assert len(scd2_merge(mart, increment, cfg, AS_OF).collect()) == 2
     with pytest.raises(Exception, match="starts after"):
