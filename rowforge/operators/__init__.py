@@ -6,6 +6,7 @@ from rowforge.operators.clean import (
     dates_after,
     dedup_by_key,
     project_filled,
+    repeat_rows,
     replace_pattern,
 )
 from rowforge.operators.incremental import (
@@ -19,6 +20,7 @@ from rowforge.operators.joins import (
     band_join,
     band_join_avg,
     hot_keys,
+    hot_values,
     salted_join,
 )
 from rowforge.operators.layout import add_constants, co_partition, partition_balance, reused
@@ -73,6 +75,7 @@ __all__ = [
     "field_stats",
     "flag_load_batches",
     "hot_keys",
+    "hot_values",
     "in_range",
     "late_rows",
     "latest_values",
@@ -83,6 +86,7 @@ __all__ = [
     "project_filled",
     "quarantined",
     "read_quality",
+    "repeat_rows",
     "replace_pattern",
     "required",
     "reused",

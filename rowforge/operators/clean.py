@@ -79,7 +79,9 @@ def dedup_by_key(
 
     A minimum over row structs rather than a window, so copies of one key are
     reduced on the map side and never gathered whole in a task. Rows without a
-    key are all kept unless ``keep_null_keys`` is off, when they are one group.
+    key are all kept unless ``keep_null_keys`` is off, when they are one group: each
+    forms a group of its own with its exact copies, which are counted and repeated
+    afterwards, so that one scan and one aggregate serve both kinds.
     A derived ``key`` is kept as a column if ``key_name`` names it.
     """
     if not order_by:
@@ -90,13 +92,28 @@ def dedup_by_key(
         raise ValueError(f"column {label} already exists")
     keyed = df.withColumn(label, F.col(key) if isinstance(key, str) else key)
     output = [*columns, *([key_name] if key_name else [])]
+    row = F.struct(*columns)
+    ranked = F.struct(F.struct(*order_by).alias("rank"), row.alias("row"))
+    if not keep_null_keys:
+        kept = keyed.groupBy(label).agg(F.min(ranked)["row"].alias("kept"))
+        return kept.select("kept.*", label).select(*output)
+    no_key = F.col(label).isNull()
+    grouped = keyed.groupBy(label, F.when(no_key, row).alias("own")).agg(
+        F.min(F.when(~no_key, ranked))["row"].alias("kept"), F.count(F.lit(1)).alias("rows")
+    )
+    copies = F.when(no_key, F.col("rows")).otherwise(1)
+    chosen = grouped.select(F.coalesce("own", "kept").alias("kept"), label, copies.alias("rows"))
+    return repeat_rows(chosen, "rows").select("kept.*", label).select(*output)
 
-    def first_rows(rows: DataFrame) -> DataFrame:
-        row = F.struct(F.struct(*order_by).alias("rank"), F.struct(*columns).alias("row"))
-        kept = rows.groupBy(label).agg(F.min(row).alias("kept"))
-        return kept.select("kept.row.*", label).select(*output)
 
-    if not keep_null_keys:
-        return first_rows(keyed)
-    unkeyed = keyed.where(F.col(label).isNull()).select(*output)
-    return first_rows(keyed.where(F.col(label).isNotNull())).unionByName(unkeyed)
+def repeat_rows(df: DataFrame, times: str, block: int = 1 << 16) -> DataFrame:
+    """Each row as often as its column ``times`` says, without that column; null or below 1: never.
+
+    In two steps, so that no array of more than ``block`` entries is made for any number.
+    """
+    n = F.col(times).cast("long")
+    start, step = f"{times}_from", f"{times}_step"
+    starts = F.when(n > 0, F.sequence(F.lit(0).cast("long"), n - 1, F.lit(block).cast("long")))
+    here = F.least(n - F.col(start), F.lit(block).cast("long")).cast("int")
+    blocks = df.withColumn(start, F.explode(starts))
+    return blocks.withColumn(step, F.explode(F.array_repeat(F.lit(0), here))).drop(times, start, step)

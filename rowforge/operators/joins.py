@@ -6,20 +6,24 @@ The basic types (inner, full, left, right, semi, anti, USING) are Spark's own
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 SALT = "join_salt"
 CELL = "band_cell"
 HOT = "hot_key"
+HASH = "key_hash"
 MEMBER = "array_member"
+FOUND, HERE, PLACE, ANY = "member_found", "member_row", "member_place", "member_any"
 # Fixed value: number of salts when the caller gives none.
 SALTS = 20
 LEAST_HOT_SHARE = 1e-4
+SKETCHES = 64
 
 _ONE_SIDED = ("inner", "left", "left_semi", "left_anti")
 
@@ -45,14 +49,42 @@ def _join_on(
 def hot_keys(df: DataFrame, on: Sequence[str], min_share: float) -> DataFrame:
     """Keys that each hold at least ``min_share`` of all rows, with their counts.
 
-    There are at most ``1 / min_share`` of them, whatever the size of ``df``.
-    Reads the key columns only and counts on the map side.
+    There are at most ``1 / min_share`` of them, whatever the size of ``df``. A first pass over
+    the key columns fills frequent-items sketches of the key's hash; a second counts only the rows
+    of the candidates they name, so that no key column is grouped in full. A sketch that
+    tracks ``6 / min_share`` items names each one above 7/8 of the share, and those from half the
+    share up are at most ``2 / min_share``: no hot key is missed, and the counts are exact.
+    Rows with a null in ``on`` count as rows, but are no key.
     """
-    if not 0 < min_share <= 1:
-        raise ValueError("min_share must be in (0, 1]")
-    total = df.agg(F.count(F.lit(1))).scalar()
-    counts = df.na.drop(subset=list(on)).groupBy(*on).agg(F.count(F.lit(1)).alias("rows"))
-    return counts.where(F.col("rows") >= total * F.lit(min_share))
+    if not LEAST_HOT_SHARE / 10 <= min_share <= 1:
+        raise ValueError(f"min_share must be in [{LEAST_HOT_SHARE / 10}, 1]")
+    tracked, most = math.ceil(6 / min_share), math.ceil(2 / min_share) + 1
+    hashed = df.select(*on, F.xxhash64(*on).alias(HASH))
+    # sketches of a few groups of partitions first: the last task merges SKETCHES of them, not one for each task
+    partial = hashed.groupBy(F.pmod(F.spark_partition_id(), F.lit(SKETCHES)).alias("part")).agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.call_function("approx_top_k_accumulate", HASH, F.lit(tracked)).alias("sketch"),
+    )
+    merged = partial.agg(
+        F.sum("rows").alias("total"),
+        F.call_function("approx_top_k_combine", F.col("sketch"), F.lit(tracked)).alias("sketch"),
+    )
+    named = F.inline(F.call_function("approx_top_k_estimate", F.col("sketch"), F.lit(most)))
+    candidates = merged.where(F.col("total") > 0).select("total", named).select(F.col("item").alias(HASH), "total")
+    counted = hashed.na.drop(subset=list(on)).join(F.broadcast(candidates), HASH)
+    counts = counted.groupBy(*on).agg(F.count(F.lit(1)).alias("rows"), F.any_value("total").alias("total"))
+    return counts.where(F.col("rows") >= F.col("total") * F.lit(min_share)).drop("total")
+
+
+def hot_values(df: DataFrame, columns: Sequence[str], min_share: float) -> DataFrame:
+    """For each column the values that hold at least ``min_share`` of the rows: field, name, rows.
+
+    All columns share the two passes of ``hot_keys``; values are given as text, nulls are left out.
+    """
+    fields = F.array(
+        *(F.struct(F.lit(c).alias("field"), F.col(c).cast("string").alias("name")) for c in columns)
+    )
+    return hot_keys(df.select(F.inline(fields)), ["field", "name"], min_share / len(columns))
 
 
 def _holds_map(kind: T.DataType) -> bool:
@@ -203,23 +235,39 @@ def array_membership_join(
     """Join a left row to every right row whose ``key`` is in the left row's array.
 
     The array is exploded (each value once) into an equi-join, where a
-    condition on the array would compare all rows with all rows. ``left`` also
-    keeps left rows without a partner, once, and then needs ``left_id``, the
-    columns that identify a left row.
+    condition on the array would compare all rows with all rows. Both sides are read once.
+    ``left`` and ``full`` also keep left rows without a partner, once, and then need ``left_id``, the
+    columns that identify a left row; ``right`` and ``full`` keep right rows that no array holds.
+    Null values of an array and null keys match nothing. The array itself only travels if
+    it is asked for afterwards. Only ``inner`` and ``left`` can be salted.
     """
-    if how not in ("inner", "left"):
-        raise ValueError("how must be inner or left")
-    if how == "left" and not left_id:
+    if how not in ("inner", "left", "right", "full"):
+        raise ValueError("how must be inner, left, right or full")
+    if how in ("left", "full") and not left_id:
         raise ValueError("left_id must name the columns identifying a left row")
+    if how in ("right", "full") and salts != 1:
+        raise ValueError("a right or full join cannot be salted: repeated right rows must not surface")
     _disjoint(left, right, [])
-    keyed = right.withColumn(MEMBER, F.col(key))
-    members = left.withColumn(MEMBER, F.explode(F.array_distinct(array_col)))
-    pairs = salted_join(members, keyed, [MEMBER], salts=salts).drop(MEMBER)
-    if how == "inner":
-        return pairs
-    known = members.select(*left_id, MEMBER).join(keyed.select(MEMBER), MEMBER, "left_semi")
-    known = known.select(*(F.col(c).alias(f"_known_{c}") for c in left_id)).distinct()
-    same = reduce(lambda a, b: a & b, (left[c].eqNullSafe(known[f"_known_{c}"]) for c in left_id))
-    alone = left.join(known, same, "left_anti")
-    blanks = {c.name: F.lit(None).cast(c.dataType) for c in right.schema}
-    return pairs.unionByName(alone.withColumns(blanks).select(*pairs.columns))
+    output = [*left.columns, *right.columns]
+    keyed = right.withColumns({MEMBER: F.col(key), FOUND: F.lit(True)})
+    values = F.array_distinct(array_col)
+    if how in ("inner", "right"):
+        members = left.withColumn(MEMBER, F.explode(values))
+    else:
+        members = left.select("*", F.posexplode_outer(values).alias(PLACE, MEMBER)).withColumn(HERE, F.lit(True))
+    if how in ("inner", "left"):
+        pairs = salted_join(members, keyed, [MEMBER], how, salts=salts)
+    else:
+        pairs = members.join(keyed, [MEMBER], how)
+    if how in ("inner", "right"):
+        return pairs.select(*output)
+    # Of a row's values without a partner only the first can speak for the row: it
+    # stays if none of the others has a partner either. Right rows alone are spread by key.
+    matched = F.col(FOUND).isNotNull()
+    first = F.coalesce(F.col(PLACE), F.lit(0)) == 0
+    speaking = pairs.where(matched | first)
+    spread = F.when(F.col(HERE).isNull(), F.xxhash64(key))
+    row = Window.partitionBy(HERE, spread, *left_id)
+    alone = F.max(matched).over(row)
+    kept = speaking.withColumn(ANY, alone).where(matched | ~F.col(ANY))
+    return kept.select(*output)

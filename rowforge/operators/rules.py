@@ -66,10 +66,14 @@ def decode_join(
 ) -> DataFrame:
     """Attach ``label`` from a code table, ``default`` where the code is unknown.
 
-    ``labels`` holds one row per code. No broadcast is forced: Spark picks it
+    ``labels`` must hold one row per code: a code that it repeats would double rows and fails the job,
+    whether or not ``df`` holds it. No broadcast is forced: Spark picks it
     when the table's size allows, and a shuffled join otherwise.
     """
-    table = labels.select(F.col(code).alias("decode_code"), F.col(label).alias("decode_label"))
-    joined = df.join(table, F.col(col) == F.col("decode_code"), "left")
+    message = F.concat(F.lit("several rows for code "), F.col("decode_code").cast("string"))
+    once = F.when(F.col("decode_rows") > 1, F.raise_error(message)).otherwise(F.lit(True))
+    known = labels.where(F.col(code).isNotNull()).groupBy(F.col(code).alias("decode_code"))
+    table = known.agg(F.any_value(label).alias("decode_label"), F.count(F.lit(1)).alias("decode_rows"))
+    joined = df.join(table.where(once).drop("decode_rows"), F.col(col) == F.col("decode_code"), "left")
     found = F.coalesce(F.col("decode_label"), F.lit(default))
     return joined.withColumn(label, found).drop("decode_code", "decode_label")

@@ -11,6 +11,7 @@ from rowforge.operators import (
     band_join_avg,
     co_partition,
     hot_keys,
+    hot_values,
     salted_join,
     word_counts,
 )
@@ -167,6 +168,34 @@ def array_membership_keep_empty(t: Table) -> DataFrame:
     )
 
 
+@query(
+    """
+    WITH books AS (
+        SELECT l_suppkey, l_shipdate::DATE AS day, list(l_orderkey) AS orders FROM lineitem
+        WHERE l_quantity >= 30 GROUP BY ALL),
+    members AS (SELECT DISTINCT l_suppkey, day, unnest(orders) AS o_orderkey FROM books),
+    pairs AS (SELECT l_suppkey, day, o_orderkey, o_totalprice
+              FROM members FULL JOIN (SELECT * FROM orders WHERE o_orderstatus <> 'F') USING (o_orderkey)),
+    whole AS (SELECT l_suppkey, day, count(o_totalprice) AS n FROM pairs WHERE l_suppkey IS NOT NULL GROUP BY ALL)
+    SELECT l_suppkey, day, o_orderkey, o_totalprice FROM pairs WHERE o_totalprice IS NOT NULL
+    UNION ALL SELECT l_suppkey, day, NULL, NULL FROM whole WHERE n = 0
+    """
+)
+def array_membership_full(t: Table) -> DataFrame:
+    """Suppliers' daily lists of large orders against open orders; both keep what has no partner."""
+    books = (
+        t("lineitem")
+        .where("l_quantity >= 30")
+        .groupBy("l_suppkey", F.col("l_shipdate").cast("date").alias("day"))
+        .agg(F.collect_list("l_orderkey").alias("orders"))
+    )
+    orders = t("orders").where("o_orderstatus <> 'F'").select("o_orderkey", "o_totalprice")
+    joined = array_membership_join(
+        books, orders, "orders", "o_orderkey", "full", left_id=["l_suppkey", "day"]
+    )
+    return joined.drop("orders")
+
+
 def _customers_and_suppliers(t: Table) -> tuple[DataFrame, DataFrame]:
     customers = t("customer").select(
         "c_custkey",
@@ -270,3 +299,16 @@ def salted_join_hot(t: Table) -> DataFrame:
 )
 def hot_languages(t: Table) -> DataFrame:
     return hot_keys(t("documents"), ["lang"], 0.2)
+
+
+@query(
+    """
+    WITH fields AS (SELECT unnest(['lang', 'source']) AS field, unnest([lang, source]) AS name FROM documents)
+    SELECT field, name, count(*) AS rows FROM fields WHERE name IS NOT NULL GROUP BY field, name
+    HAVING count(*) >= 0.06 * (SELECT count(*) FROM documents)
+    """,
+    name="hot_values",
+)
+def hot_document_values(t: Table) -> DataFrame:
+    """Languages and sources that hold at least 6 % of the documents."""
+    return hot_values(t("documents"), ["lang", "source"], 0.06)

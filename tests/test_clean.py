@@ -14,6 +14,7 @@ from rowforge.operators import (
     clean,
     dates_after,
     dedup_by_key,
+    repeat_rows,
     project_filled,
     replace_pattern,
     with_average,
@@ -144,3 +145,18 @@ def test_fingerprint_tells_nulls_and_borders_apart(spark):
 def test_average_counts_null_as_zero(spark):
     cars = spark.createDataFrame([(1, 10.0), (2, None), (3, 20.0)], "id int, miles double")
     assert rows(with_average(cars, "miles", "avg")) == [(1, 10.0, 10.0), (2, None, 10.0), (3, 20.0, 10.0)]
+
+
+def test_dedup_reads_once_and_repeats_copies_without_a_key(spark, tmp_path, plan_of):
+    data = [(1, "a", 5), (1, "a", 5), (1, "b", 2), (2, None, 1)] + [(None, "a", 1)] * 3 + [(None, None, 7), (None, "z", 0)]
+    spark.createDataFrame(data, "k int, v string, n int").write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    assert plan_of(dedup_by_key(df, "k", ["n"])).count("FileScan") == 1
+    assert rows(dedup_by_key(df, "k", ["n"])) == sorted([(1, "b", 2), (2, None, 1), *data[4:]], key=repr)
+    assert rows(dedup_by_key(df, "k", ["n"], keep_null_keys=False)) == sorted([(1, "b", 2), (2, None, 1), (None, "z", 0)], key=repr)
+
+
+def test_repeat_rows(spark):
+    counted = spark.createDataFrame([("a", 3), ("b", 0), ("c", None), ("d", 150), ("e", -1)], "v string, n int")
+    assert {r["v"]: r["count"] for r in repeat_rows(counted, "n", block=64).groupBy("v").count().collect()} == {"a": 3, "d": 150}
+    assert repeat_rows(counted, "n").columns == ["v"]

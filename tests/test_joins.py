@@ -8,7 +8,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from rowforge.operators import array_membership_join, band_join, band_join_avg, hot_keys, salted_join
+from rowforge.operators import array_membership_join, band_join, band_join_avg, hot_keys, hot_values, salted_join
 from rowforge.operators.joins import SALT
 
 
@@ -198,3 +198,71 @@ def test_basic_types(spark):
     same = values["id"] == links["key"]
     counts = {how: links.join(values, same, how).count() for how in ("inner", "full", "left", "right", "left_semi")}
     assert counts == {"inner": 8, "full": 11, "left": 10, "right": 9, "left_semi": 8}
+
+
+def _brute_membership(left, right, how):
+    out, used = [], set()
+    for identity, members in left:
+        found = [(i, r) for i, r in enumerate(right) if r[0] is not None and r[0] in (members or [])]
+        used |= {i for i, _ in found}
+        out += [(identity, *r) for _, r in found]
+        if not found and how in ("left", "full"):
+            out.append((identity, None, None))
+    if how in ("right", "full"):
+        out += [(None, *r) for i, r in enumerate(right) if i not in used]
+    return sorted(out, key=repr)
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "right", "full"])
+def test_array_membership_equals_brute_force(spark, plan_of, how):
+    """Repeated rows, repeated and null members, empty and null arrays, null ids and keys, a hot key."""
+    rng = random.Random(5)
+    left = [(i, rng.sample(range(60), rng.randint(0, 9)) + rng.choice([[], [7, 7], [None], [901]])) for i in range(150)]
+    left += [(500, [7]), (501, None), (502, []), (503, [None]), (504, [900, 901]), (504, [900, 901]), (None, [7, 901])]
+    right = [(k, f"r{k}") for k in range(0, 70, 2)] + [(7, "seven"), (7, "seven"), (None, "null"), (None, "null")]
+    frames = spark.createDataFrame(left, "id int, members array<int>"), spark.createDataFrame(right, "key int, name string")
+    joined = array_membership_join(*frames, "members", "key", how, left_id=["id"])
+    assert joined.columns == ["id", "members", "key", "name"]
+    assert rows(joined.select("id", "key", "name")) == _brute_membership(left, right, how)
+    plan = plan_of(joined.select("id", "key", "name"))
+    assert plan.count("LocalTableScan") + plan.count("Scan ExistingRDD") == 2
+    if how in ("right", "full"):
+        with pytest.raises(ValueError, match="salted"):
+            array_membership_join(*frames, "members", "key", how, left_id=["id"], salts=2)
+
+
+def test_membership_does_not_shuffle_the_array(spark, tmp_path, plan_of):
+    spark.range(50).selectExpr("id", "array(id, id + 1) AS members").write.parquet(str(tmp_path / "l"))
+    left = spark.read.parquet(str(tmp_path / "l"))
+    right = spark.range(30).selectExpr("id AS key", "'x' AS name")
+    plan = plan_of(array_membership_join(left, right, "members", "key", "full", left_id=["id"]).select("id", "name"))
+    assert plan.count("FileScan") == 1
+    for line in plan.splitlines():
+        if "Project" in line and "member_place" in line:
+            assert "members#" not in line
+
+
+@pytest.mark.parametrize("share", [0.3, 0.05, 0.004])
+def test_hot_keys_equal_a_full_count(spark, plan_of, share):
+    """Keys on both sides of the share, many rare ones, null keys that count as rows, two key columns."""
+    rng = random.Random(3)
+    data = [(k, k % 3) for k in range(6000)] + [(-1, 0)] * 5000 + [(-2, 1)] * 700 + [(None, 0)] * 900
+    data += [(-k, 2) for k in range(3, 60) for _ in range(10 + k)]
+    rng.shuffle(data)
+    df = spark.createDataFrame(data, "a int, b int").repartition(13)
+    counts = {}
+    for key in data:
+        counts[key] = counts.get(key, 0) + 1
+    wanted = sorted((*k, n) for k, n in counts.items() if k[0] is not None and n >= share * len(data))
+    found = hot_keys(df, ["a", "b"], share)
+    assert rows(found) == sorted(wanted, key=repr)
+    # the only exchange by the key comes after the candidates were met
+    assert "BroadcastHashJoin" in plan_of(found).split("hashpartitioning(a#")[1]
+
+
+def test_hot_values_of_several_columns(spark):
+    df = spark.createDataFrame([("x", 1), ("x", 2), (None, 1), ("y", 1)], "s string, n int")
+    assert rows(hot_values(df, ["s", "n"], 0.5)) == [("n", "1", 3), ("s", "x", 2)]
+    assert hot_keys(df.limit(0), ["s"], 0.5).count() == 0
+    with pytest.raises(ValueError, match="min_share"):
+        hot_keys(df, ["s"], 0)

@@ -63,6 +63,14 @@ def test_decode(spark):
     )
 
 
+def test_decode_refuses_a_repeated_code(spark):
+    codes = spark.createDataFrame([("N1",)], "code string")
+    table = spark.createDataFrame([("N1", "north"), ("N2", "a"), ("N2", "b"), (None, "c"), (None, "d")], "id string, country string")
+    with pytest.raises(Exception, match="several rows for code N2"):
+        decode_join(codes, "code", table, "id", "country", "?").collect()
+    assert rows(decode_join(codes, "code", table.where("id <> 'N2' OR id IS NULL"), "id", "country", "?")) == [("N1", "north")]
+
+
 def test_units(spark):
     lengths = spark.createDataFrame(
         [(2.0, "km"), (312.5, "m"), (180.0, "cm"), (150.0, "cm"), (1.0, "mile")], "v double, u string"
