@@ -24,6 +24,7 @@ from rowforge.operators.joins import (
     salted_join,
 )
 from rowforge.operators.layout import add_constants, co_partition, partition_balance, reused
+from rowforge.operators.numbering import dense_row_numbers, hash_sample
 from rowforge.operators.rules import (
     accepted,
     decode_join,
@@ -54,7 +55,7 @@ from rowforge.operators.stats import (
     top_counts,
     with_average,
 )
-from rowforge.operators.words import paired_top_words, top_words, word_counts, words
+from rowforge.operators.words import paired_top_words, top_words, word_counts, word_ranks, words
 
 __all__ = [
     "ExtremeOf",
@@ -71,9 +72,11 @@ __all__ = [
     "dates_after",
     "decode_join",
     "dedup_by_key",
+    "dense_row_numbers",
     "extreme_groups",
     "field_stats",
     "flag_load_batches",
+    "hash_sample",
     "hot_keys",
     "hot_values",
     "in_range",
@@ -105,5 +108,6 @@ __all__ = [
     "validate",
     "with_average",
     "word_counts",
+    "word_ranks",
     "words",
 ]

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rowforge.functions.numbers import parse_integer
+from rowforge.operators.numbering import dense_row_numbers
 
 # What separates words, and how many top words are ranked.
 WORD_SEPARATOR = r"\W+"
@@ -36,6 +37,12 @@ def top_words(
     return top.select(rank.cast("long").alias("id"), word, count)
 
 
+def word_ranks(df: DataFrame, text: str, word: str = "word", count: str = "cnt") -> DataFrame:
+    """Every word with its rank ``id`` from 0, most frequent first, ties by word."""
+    counted = word_counts(df, text, word, count)
+    return dense_row_numbers(counted, [F.desc(count), F.asc(word)], "id", start=0)
+
+
 def paired_top_words(first: DataFrame, second: DataFrame, text: str, k: int = TOP_WORDS) -> DataFrame:
     """Top words of two corpora side by side, joined on rank."""
     left = top_words(first, text, "w_s1", "cnt_s1", k)
