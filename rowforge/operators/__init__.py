@@ -9,6 +9,7 @@ from rowforge.operators.clean import (
     repeat_rows,
     replace_pattern,
 )
+from rowforge.operators.distinct import distinct_estimates, distinct_sketches, keys_with_distinct
 from rowforge.operators.incremental import (
     flag_load_batches,
     late_rows,
@@ -25,6 +26,7 @@ from rowforge.operators.joins import (
 )
 from rowforge.operators.layout import add_constants, co_partition, partition_balance, reused
 from rowforge.operators.numbering import dense_row_numbers, hash_sample
+from rowforge.operators.quality import QualityCounts, rule_counts, write_validated
 from rowforge.operators.rules import (
     accepted,
     decode_join,
@@ -36,6 +38,7 @@ from rowforge.operators.rules import (
 )
 from rowforge.operators.scd2 import (
     Scd2Config,
+    differing_buckets,
     scd2_changes,
     scd2_closed,
     scd2_history,
@@ -59,6 +62,7 @@ from rowforge.operators.words import paired_top_words, top_words, word_counts, w
 
 __all__ = [
     "ExtremeOf",
+    "QualityCounts",
     "Scd2Config",
     "accepted",
     "add_constants",
@@ -73,6 +77,9 @@ __all__ = [
     "decode_join",
     "dedup_by_key",
     "dense_row_numbers",
+    "differing_buckets",
+    "distinct_estimates",
+    "distinct_sketches",
     "extreme_groups",
     "field_stats",
     "flag_load_batches",
@@ -80,6 +87,7 @@ __all__ = [
     "hot_keys",
     "hot_values",
     "in_range",
+    "keys_with_distinct",
     "late_rows",
     "latest_values",
     "missing_periods",
@@ -93,6 +101,7 @@ __all__ = [
     "replace_pattern",
     "required",
     "reused",
+    "rule_counts",
     "salted_join",
     "scd2_changes",
     "scd2_closed",
@@ -110,4 +119,5 @@ __all__ = [
     "word_counts",
     "word_ranks",
     "words",
+    "write_validated",
 ]

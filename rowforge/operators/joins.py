@@ -18,12 +18,14 @@ SALT = "join_salt"
 CELL = "band_cell"
 HOT = "hot_key"
 HASH = "key_hash"
+EDGES = "band_edges"
 MEMBER = "array_member"
 FOUND, HERE, PLACE, ANY = "member_found", "member_row", "member_place", "member_any"
 # Fixed value: number of salts when the caller gives none.
 SALTS = 20
 LEAST_HOT_SHARE = 1e-4
 SKETCHES = 64
+DENSE_SHARE, CELLS = 0.01, 64
 
 _ONE_SIDED = ("inner", "left", "left_semi", "left_anti")
 
@@ -153,6 +155,31 @@ def salted_join(
     )
 
 
+def _fits_broadcast(df: DataFrame) -> bool:
+    """Whether Spark's own estimate lets it broadcast the frame."""
+    spark = df.sparkSession
+    setting = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    limit = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(setting) if setting != "-1" else -1
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) <= limit
+
+
+def band_edges(df: DataFrame, on: Sequence[str], band: str, width: float) -> DataFrame:
+    """Where to cut the band of each dense key: the quantiles of its values, at least four widths apart.
+
+    Dense are the keys with ``DENSE_SHARE`` of the rows, so there are at most ``1 / DENSE_SHARE`` of
+    them, with ``CELLS`` edges each at most. Dense stretches lie between near quantiles and are cut
+    often, sparse ones seldom.
+    """
+    dense = F.broadcast(hot_keys(df, on, DENSE_SHARE).select(*on))
+    values = df.select(*on, F.col(band).cast("double").alias(band)).join(dense, list(on), "left_semi")
+    shares = [i / (CELLS + 1) for i in range(1, CELLS + 1)]
+    quantiles = values.groupBy(*on).agg(F.percentile_approx(band, shares, 20 * CELLS).alias(EDGES))
+    apart = lambda kept, e: F.coalesce(e - F.try_element_at(kept, F.lit(-1)) >= 4 * width, F.lit(True))
+    none = F.array().cast("array<double>")
+    thinned = F.aggregate(EDGES, none, lambda kept, e: F.when(apart(kept, e), F.array_append(kept, e)).otherwise(kept))
+    return quantiles.where(F.col(EDGES).isNotNull()).withColumn(EDGES, thinned)
+
+
 def band_join(
     left: DataFrame,
     right: DataFrame,
@@ -166,12 +193,12 @@ def band_join(
 ) -> DataFrame:
     """Join rows with equal ``on`` columns and ``abs(left_band - right_band) <= width``.
 
-    The band is cut into cells four widths wide. A left row lies in one cell; a
-    right row is repeated for the one or two cells its partners can lie in.
-    Joining on key and cell compares near neighbours only, not all pairs of a
-    key. A reach wider than the band leaves room for floating-point rounding;
-    the exact test is the residual condition. Where every key has few rows, a
-    plain join with the band as a condition is cheaper.
+    A right side that Spark can broadcast is joined as it is, the band as a condition. Otherwise the band of
+    every dense key is cut into cells at the quantiles of its right rows (``band_edges``); a left row lies in one cell, a
+    right row is repeated for the one or two cells its partners can lie in. Joining on key and cell compares near
+    neighbours only, not all pairs of a dense key; all other keys are one cell and nothing of them is repeated.
+    A reach wider than the band leaves room for floating-point rounding;
+    the exact test is the residual condition. ``right`` must give the same rows each time it is read.
     """
     if how not in _ONE_SIDED:
         raise ValueError(f"how must be one of {_ONE_SIDED}")
@@ -182,15 +209,18 @@ def band_join(
     if width == 0:
         celled = left.withColumn(CELL, F.col(left_band).cast("double"))
         repeated = right.withColumn(CELL, F.col(right_band).cast("double"))
-    else:
-        cell, reach = 4 * width, 1.25 * width
-        centre = F.col(right_band)
-        celled = left.withColumn(CELL, F.floor(F.col(left_band) / F.lit(cell)))
-        cells = F.sequence(
-            F.floor((centre - F.lit(reach)) / F.lit(cell)),
-            F.floor((centre + F.lit(reach)) / F.lit(cell)),
+    elif _fits_broadcast(right):
+        return _join_on(left, right, on, how, near).select(
+            *left.columns, *([] if how in ("left_semi", "left_anti") else [c for c in right.columns if c not in on])
         )
-        repeated = right.withColumn(CELL, F.explode(cells))
+    else:
+        edges = F.broadcast(band_edges(right, on, right_band, width))
+        cell_of = lambda v: F.coalesce(F.size(F.filter(EDGES, lambda e: e <= v)), F.lit(0))
+        reach, centre = 1.25 * width, F.col(right_band).cast("double")
+        cells = F.sequence(cell_of(centre - F.lit(reach)), cell_of(centre + F.lit(reach)))
+        celled = left.join(edges, list(on), "left").withColumn(CELL, cell_of(F.col(left_band).cast("double"))).drop(EDGES)
+        repeated = right.join(edges, list(on), "left").withColumn(CELL, F.explode(cells)).drop(EDGES)
+        celled, repeated = celled.select(*left.columns, CELL), repeated.select(*right.columns, CELL)
     return salted_join(celled, repeated, [*on, CELL], how, salts=salts, residual=near).drop(CELL)
 
 
@@ -209,14 +239,19 @@ def band_join_avg(
 ) -> DataFrame:
     """Average right ``value`` over the band-join partners of each ``by`` group.
 
-    Right rows that agree on key and band are summed before the join, so a key
+    Unless the right side is small enough to be broadcast, its rows that agree on key and band are summed before the join, so a key
     holding much of the data meets one row per distinct band value instead of
     one per right row.
     """
+    needed = left.select(*dict.fromkeys([*by, *on, left_band]))
+    if _fits_broadcast(right):
+        few = right.select(*dict.fromkeys([*on, right_band, value]))
+        pairs = band_join(needed, few, on, left_band, right_band, width, salts=salts)
+        average = F.try_divide(F.sum(value).cast("double"), F.count(value))
+        return pairs.groupBy(*by).agg(average.alias(name))
     sums = right.groupBy(*on, right_band).agg(
         F.sum(value).alias("value_sum"), F.count(value).alias("value_count")
     )
-    needed = left.select(*dict.fromkeys([*by, *on, left_band]))
     pairs = band_join(needed, sums, on, left_band, right_band, width, salts=salts)
     average = F.try_divide(F.sum("value_sum").cast("double"), F.sum("value_count"))
     return pairs.groupBy(*by).agg(average.alias(name))

@@ -292,3 +292,76 @@ def scd2_merge_audit(t: Table) -> DataFrame:
     mart = history.unionByName(versions(newest, "9999-12-31"))
     increment = events.where(_between("ts", "2024-01-29", None))
     return _shown(scd2_merge(mart, increment, AUDIT, AUDIT_AS_OF), "effective_to_dt", "load_dttm")
+
+
+# ---- Snapshots: all customers' latest orders a month later, with nulls in what is tracked ----
+
+SNAPSHOT = Scd2Config(keys=["custkey"], tracked=["state", "priority"], active_col="is_active", open_end=OPEN_END_TIMESTAMP)
+SNAPSHOT_BUCKETS = 4096
+
+_SNAPSHOT_SQL = """
+    WITH o AS (SELECT o_custkey AS custkey, CASE WHEN o_orderstatus <> 'O' THEN o_orderstatus END AS state,
+                      nullif(o_orderpriority, '4-NOT SPECIFIED') AS priority,
+                      o_orderdate AS ordered, o_orderkey AS orderkey FROM orders),
+    cur AS (SELECT * FROM o WHERE ordered < TIMESTAMP '2001-06-01'
+            QUALIFY row_number() OVER (PARTITION BY custkey ORDER BY ordered DESC, orderkey DESC) = 1),
+    inc AS (SELECT * FROM o WHERE ordered < TIMESTAMP '2001-07-01' AND custkey % 97 <> 5
+            QUALIFY row_number() OVER (PARTITION BY custkey ORDER BY ordered DESC, orderkey DESC) = 1),
+    met AS (SELECT coalesce(cur.custkey, inc.custkey) AS custkey, cur.state, cur.priority, cur.ordered,
+                   inc.state AS new_state, inc.priority AS new_priority,
+                   CASE WHEN cur.custkey IS NULL THEN 'new' WHEN inc.custkey IS NULL THEN 'missing'
+                        WHEN cur.state IS DISTINCT FROM inc.state OR cur.priority IS DISTINCT FROM inc.priority
+                        THEN 'changed' ELSE 'unchanged' END AS status
+            FROM cur FULL JOIN inc ON cur.custkey = inc.custkey)
+"""
+
+
+def customer_snapshots(t: Table) -> tuple[DataFrame, DataFrame]:
+    status = F.col("o_orderstatus")
+    orders = t("orders").select(
+        F.col("o_custkey").alias("custkey"),
+        F.when(status != "O", status).alias("state"),
+        F.nullif("o_orderpriority", F.lit("4-NOT SPECIFIED")).alias("priority"),
+        F.col("o_orderdate").alias("ordered"),
+        F.col("o_orderkey").alias("orderkey"),
+    )
+
+    def latest(high: str) -> DataFrame:
+        rows = orders.where(_between("ordered", None, high))
+        return _latest(rows, ["custkey"], ["ordered", "orderkey"], ["custkey", "state", "priority", "ordered"])
+
+    mart = latest("2001-06-01").select(
+        "custkey",
+        "state",
+        "priority",
+        F.col("ordered").alias("effective_from_dt"),
+        F.lit(OPEN_END_TIMESTAMP).cast("timestamp_ntz").alias("effective_to_dt"),
+        F.lit(True).alias("is_active"),
+    )
+    return mart, latest("2001-07-01").where("custkey % 97 <> 5").drop("ordered")
+
+
+@query(_SNAPSHOT_SQL + "SELECT custkey, status FROM met")
+def scd2_changes_by_digest(t: Table) -> DataFrame:
+    """A snapshot that repeats nearly the whole mart: only buckets of keys that differ are joined."""
+    mart, snapshot = customer_snapshots(t)
+    return scd2_changes(mart, snapshot, SNAPSHOT, buckets=SNAPSHOT_BUCKETS)
+
+
+@query(
+    _SNAPSHOT_SQL
+    + """
+    SELECT custkey, state, priority, ordered::VARCHAR AS effective_from_dt,
+           CASE WHEN status = 'changed' THEN '2001-09-01 00:00:00' ELSE '5999-12-31 00:00:00' END AS effective_to_dt,
+           status <> 'changed' AS is_active
+    FROM met WHERE status <> 'new'
+    UNION ALL
+    SELECT custkey, new_state, new_priority, '2001-09-01 00:00:00', '5999-12-31 00:00:00', TRUE
+    FROM met WHERE status IN ('new', 'changed')
+    """
+)
+def scd2_merge_nulls(t: Table) -> DataFrame:
+    """Values that become null, and nulls that become values, are changes; equal nulls are not."""
+    mart, snapshot = customer_snapshots(t)
+    merged = scd2_merge(mart, snapshot, SNAPSHOT, FLAG_AS_OF, buckets=SNAPSHOT_BUCKETS)
+    return _shown(merged, "effective_from_dt", "effective_to_dt")

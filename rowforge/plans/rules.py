@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rowforge.functions import convert_unit, decode_value, first_match, is_at_least
@@ -12,6 +12,7 @@ from rowforge.operators import (
     in_range,
     quarantined,
     required,
+    rule_counts,
     strong_password,
     validate,
 )
@@ -38,9 +39,9 @@ _CHECKED_SQL = rf"""
 """
 
 
-def _checked_users(t: Table) -> DataFrame:
+def _users(t: Table) -> DataFrame:
     segment = F.col("c_mktsegment")
-    users = t("customer").select(
+    return t("customer").select(
         "c_custkey",
         F.nullif(segment, F.lit("FURNITURE")).alias("name"),
         (F.col("c_nationkey") + 10).alias("age"),
@@ -51,14 +52,29 @@ def _checked_users(t: Table) -> DataFrame:
             F.col("c_nationkey").cast("string"),
         ).alias("password"),
     )
-    return validate(
-        users,
-        {
-            "name": required("name"),
-            "age": in_range("age", *AGE_RANGE),
-            "password": strong_password("password"),
-        },
-    )
+
+
+def _user_rules() -> dict[str, Column]:
+    return {
+        "name": required("name"),
+        "age": in_range("age", *AGE_RANGE),
+        "password": strong_password("password"),
+    }
+
+
+def _checked_users(t: Table) -> DataFrame:
+    return validate(_users(t), _user_rules())
+
+
+@query(
+    f"""
+    SELECT rule, count(*) FILTER (list_contains(string_split(errors, ','), rule)) AS rows
+    FROM ({_CHECKED_SQL}), (SELECT unnest(['name', 'age', 'password']) AS rule) GROUP BY rule
+    """,
+    name="rule_counts",
+)
+def user_rule_counts(t: Table) -> DataFrame:
+    return rule_counts(_users(t), _user_rules())
 
 
 @query(f"SELECT c_custkey, errors FROM ({_CHECKED_SQL})")

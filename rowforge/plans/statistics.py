@@ -9,8 +9,10 @@ from rowforge.functions import weekday_name
 from rowforge.operators import (
     ExtremeOf,
     count_per_key,
+    distinct_sketches,
     extreme_groups,
     field_stats,
+    keys_with_distinct,
     most_frequent_month,
     top_counts,
     with_average,
@@ -216,3 +218,20 @@ def skew_report(t: Table) -> DataFrame:
         )
     )
     return count_per_key(fields, ["field", "name"]).orderBy(F.desc("rows"), "field", "name")
+
+
+@query(
+    """
+    SELECT l_suppkey FROM lineitem
+    WHERE l_shipdate >= TIMESTAMP '1996-01-01' AND l_shipdate < TIMESTAMP '2000-01-01'
+    GROUP BY l_suppkey HAVING count(DISTINCT l_orderkey) >= 340
+    """
+)
+def busy_suppliers(t: Table) -> DataFrame:
+    """Suppliers in at least 340 orders over four years: daily sketches merged, exact counts near the threshold."""
+    lines = t("lineitem").select(
+        "l_suppkey", F.col("l_shipdate").cast("date").alias("day"), "l_orderkey"
+    )
+    sketches = distinct_sketches(lines, ["l_suppkey"], "day", "l_orderkey")
+    years = F.col("day").between(F.lit("1996-01-01").cast("date"), F.lit("1999-12-31").cast("date"))
+    return keys_with_distinct(sketches, lines, ["l_suppkey"], "l_orderkey", 340, years)

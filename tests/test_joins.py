@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 import random
 
 import pytest
@@ -9,7 +10,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from rowforge.operators import array_membership_join, band_join, band_join_avg, hot_keys, hot_values, salted_join
-from rowforge.operators.joins import SALT
+from rowforge.operators.joins import SALT, band_edges
 
 
 @pytest.fixture
@@ -22,6 +23,15 @@ def skewed(spark):
     return spark.createDataFrame(data, "key int, payload string").repartition(8)
 
 
+@pytest.fixture(params=["broadcast", "shuffled"])
+def each_way(spark, request):
+    """With Spark's own threshold for broadcasts, and without any."""
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold if request.param == "broadcast" else "-1")
+    yield request.param
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
 @pytest.fixture
 def dimension(spark):
     data = [(i, f"d{i}") for i in range(0, 30)] + [(0, "second"), (99, "alone"), (None, "null")]
@@ -85,7 +95,7 @@ def test_two_key_columns(spark):
 
 @pytest.mark.parametrize(("width", "scale"), [(0, 1), (1, 1), (7, 1), (0.1, 0.1), (0.3, 0.1), (2.5, 0.25)])
 @pytest.mark.parametrize("salts", [1, 3])
-def test_band_join_equals_brute_force(spark, width, scale, salts):
+def test_band_join_equals_brute_force(spark, each_way, width, scale, salts):
     rng = random.Random(11)
     draw = lambda: rng.choice([None, rng.randint(-60, 60) * scale])
     lefts = [(i, rng.choice("ab"), draw()) for i in range(80)] + [(100, "a", None), (101, "z", 1 * scale)]
@@ -105,7 +115,7 @@ def test_band_join_equals_brute_force(spark, width, scale, salts):
     assert rows(outer) == sorted(pairs + alone, key=repr)
 
 
-def test_band_join_avg(spark):
+def test_band_join_avg(spark, each_way):
     people = spark.createDataFrame(
         [("p1", "it", "rome", 3), ("p2", "it", "rome", 5), ("p3", "art", "rome", 3), ("p1", "it", "oslo", 1)],
         "id string, category string, city string, level int",
@@ -123,11 +133,29 @@ def test_band_join_avg(spark):
     assert rows(averages) == [("p1", 50.0), ("p2", 60.0), ("p3", None)]
 
 
-def test_band_join_compares_neighbours_only(spark, plan_of):
-    left = spark.range(1000).select(F.lit("k").alias("k"), F.col("id").alias("lv"))
-    right = spark.range(1000).select(F.lit("k").alias("k"), F.col("id").alias("rv"))
+@pytest.mark.parametrize("each_way", ["shuffled"], indirect=True)
+def test_band_cells_follow_the_data(spark, plan_of, each_way):
+    """One key with most rows, bunched in a tenth of its range; the rest of the keys are cut nowhere."""
+    rng = random.Random(2)
+    dense = [("hot", rng.choice([rng.uniform(0, 10), rng.uniform(0, 100)])) for _ in range(3000)]
+    sparse = [(f"k{i % 400}", rng.uniform(0, 100)) for i in range(1200)]
+    right = spark.createDataFrame(dense + sparse, "k string, rv double")
+    edges = {r["k"]: r["band_edges"] for r in band_edges(right, ["k"], "rv", 0.05).collect()}
+    assert set(edges) == {"hot"} and 40 < len(edges["hot"]) <= 64
+    assert all(b - a >= 0.2 for a, b in itertools.pairwise(edges["hot"]))
+    assert sum(e < 10 for e in edges["hot"]) > 25
+    left = spark.createDataFrame([("hot", 0.1 * i) for i in range(1000)] + [("k3", 50.0), ("none", 1.0)], "k string, lv double")
+    near = band_join(left, right, ["k"], "lv", "rv", 0.05)
+    assert "NestedLoop" not in plan_of(near)
+    plain = left.join(right, "k").where("abs(lv - rv) <= 0.05").select("k", "lv", "rv")
+    assert rows(near.select("k", "lv", "rv")) == rows(plain)
+
+
+def test_band_join_of_a_small_side_is_the_plain_join(spark, plan_of):
+    left = spark.range(1000).select((F.col("id") % 2).alias("k"), F.col("id").alias("lv"))
+    right = spark.range(1000).select((F.col("id") % 2).alias("k"), F.col("id").alias("rv"))
     plan = plan_of(band_join(left, right, ["k"], "lv", "rv", 1))
-    assert "band_cell" in plan and "NestedLoop" not in plan
+    assert "band_cell" not in plan and "BroadcastHashJoin" in plan
 
 
 CUSTOMERS = [(11, "Nora@mail.test", [70, 72]), (12, "ivo@mail.test", []), (13, "Lea@mail.test", [71, 99])]

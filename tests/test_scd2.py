@@ -11,6 +11,7 @@ from conftest import rows
 
 from rowforge.operators import (
     Scd2Config,
+    differing_buckets,
     scd2_changes,
     scd2_closed,
     scd2_history,
@@ -373,3 +374,47 @@ def test_increment_columns_the_mart_does_not_know_are_not_shuffled(text_mart, te
 
     wide = text_increment.withColumn("noise", F.uuid())
     assert "noise" not in plan_of(scd2_merge(text_mart, wide, TEXT, AS_OF))
+
+
+def _snapshot(spark, changed: int):
+    rng = random.Random(8)
+    value = lambda: rng.choice([None, "", "a", "b", "1"])
+    open_rows = [(k, value(), value()) for k in range(4000)]
+    mart = spark.createDataFrame([(*r, "2020-01-01", "9999-12-31") for r in open_rows], "id int, a string, b string, start_date string, end_date string")
+    moved = {k: (k, f"new{k}", None) for k in rng.sample(range(4000), changed)}
+    increment = [moved.get(k, (k, a, b)) for k, a, b in open_rows if k % 1000 != 3] + [(9001, None, "n")]
+    rng.shuffle(increment)
+    return mart, spark.createDataFrame(increment, "id int, a string, b string")
+
+
+DIGESTS = Scd2Config(keys=["id"], tracked=["a", "b"], from_col="start_date", to_col="end_date")
+
+
+@pytest.mark.parametrize("buckets", [1, 50, 5000])
+@pytest.mark.parametrize("changed", [0, 40, 2000])
+def test_digests_change_no_result(spark, changed, buckets):
+    mart, increment = _snapshot(spark, changed)
+    plain = rows(scd2_changes(mart, increment, DIGESTS))
+    assert rows(scd2_changes(mart, increment, DIGESTS, buckets=buckets)) == plain
+    assert rows(scd2_merge(mart, increment, DIGESTS, AS_OF, buckets=buckets)) == rows(scd2_merge(mart, increment, DIGESTS, AS_OF))
+
+
+def test_equal_buckets_are_not_joined(spark, plan_of):
+    mart, increment = _snapshot(spark, 40)
+    differ = differing_buckets(mart, increment, ["id"], ["a", "b"], 2000)
+    assert 30 <= differ.count() <= 45  # 40 changed, 4 missing, 1 new, of 2000
+    nulls = spark.createDataFrame([(1, None, "x")], "id int, a string, b string")
+    assert differing_buckets(nulls, spark.createDataFrame([(1, "x", None)], nulls.schema), ["id"], ["a", "b"], 7).count() == 1
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = plan_of(scd2_changes(mart, increment, DIGESTS, buckets=2000))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    # the mart passes the buckets that differ before anything of it is shuffled by key
+    assert "LeftSemi" in plan.split("hashpartitioning(id#")[1].split("Exchange")[0]
+    with pytest.raises(ValueError, match="buckets"):
+        differing_buckets(mart, increment, ["id"], ["a"], 0)
+    broken = increment.unionByName(spark.createDataFrame([(None, "a", "b")], increment.schema))
+    with pytest.raises(Exception, match="without a key"):
+        scd2_changes(mart, broken, DIGESTS, buckets=50).collect()
