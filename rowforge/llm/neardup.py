@@ -7,30 +7,34 @@ give band keys and an odd sketch: a bitmap whose bits flip for each minimum, so
 of two bitmaps estimates how many minima differ. Bands propose pairs, sketches drop those
 clearly below the threshold, and shingle sets decide.
 
-Groups are not paired out: first each class meets the smallest class of each of its buckets, confirmed
-links are closed to components, and only then do classes of one bucket meet that are still
-in different components. A pair at the threshold shares no band with probability 4e-6; its
-sketches drop it with about 2e-4 (59 of 300,000 in a simulation of ideal minima).
-
-Null and empty texts have no shingles and stay alone; rows without an id are left out, and rows that share
-an id are taken to share their text. Repeated rows and repeated ids come back
-once for each row. Other columns are ignored. An empty table gives an empty result.
+Groups are not paired out. In each of ``ROUNDS`` rounds the classes of a bucket meet ``HEADS`` of them, the same
+ones wherever possible in all buckets of a group, and a head that has met its bucket leaves it. First each class
+confirms the partner whose sketch is nearest, and once more the nearest that is still in another component; then
+all pairs still apart are confirmed. A bucket is done once its classes lie in one component; most of a group falls into one in the
+first round; what is left then is compared by finer sketches. What lies in different components after the
+last round is compared pair by pair. A pair at the threshold shares no band with probability 4e-6; the first sketches
+drop such a pair with about 2e-6 (4 of 2,000,000 simulated), the finer ones with less: their slack is five standard deviations.
+
+Null and empty texts have no shingles and stay alone; rows without an id are left out. Rows that share
+an id are one document, whose text is the one with the least digest if they differ; each of the rows comes
+back. Other columns are ignored. An empty table gives an empty result.
 """
 
 from __future__ import annotations
 
-import re
+import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rowforge.llm.shared import discard, written
 
-ROWS, BANDS, WORDS, BITS = 6, 64, 5, 1024
-SPLIT = re.compile(r"[^\x20\x09-\x0D]+")
-_UPPER = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
+ROWS, BANDS, WORDS, BITS, SLACK = 6, 64, 5, 1024, 0.14
+FINE, FINE_BITS, FINE_SLACK = 4096, 16384, 0.04
+HEADS, ROUNDS, RUN, SENT = 4, 2, 1000, 1 << 20
+SKETCH = "doc_id long, key binary, n_shingles long, bands array<long>, odd array<long>"
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -39,16 +43,20 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def words_of(text: bytes | None) -> list[bytes]:
+    """Words of a text in UTF-8; bytes are lower-cased and split in ASCII only."""
+    return text.lower().split() if text else []
+
+
 class Shingler:
-    """Sorted distinct 64-bit shingle hashes of a text; word hashes are remembered."""
+    """Sorted distinct 64-bit shingle hashes of a sequence of words; word hashes are remembered."""
 
     def __init__(self, keep: int = 300_000):
         import xxhash
 
         self.hash, self.keep, self.seen = xxhash.xxh3_64_intdigest, keep, {}
 
-    def __call__(self, text: str | None) -> np.ndarray:
-        words = SPLIT.findall(text.translate(_UPPER)) if text else []
+    def __call__(self, words: list[bytes]) -> np.ndarray:
         if not words:
             return np.zeros(0, np.uint64)
         if len(self.seen) > self.keep:
@@ -56,7 +64,7 @@ class Shingler:
         seen = self.seen
         for w in set(words):
             if w not in seen:
-                seen[w] = self.hash(w.encode("utf-8", "surrogatepass"))
+                seen[w] = self.hash(w)
         h = np.fromiter(map(seen.__getitem__, words), np.uint64, len(words))
         n = min(WORDS, len(words))
         out = np.full(len(h) - n + 1, np.uint64(n))
@@ -65,39 +73,70 @@ class Shingler:
         return np.unique(out)
 
 
-def minima(shingles: np.ndarray) -> np.ndarray:
-    """ROWS x BANDS minima of the set under fixed multiply-shift permutations."""
-    count = ROWS * BANDS
-    a = _mix(np.arange(1, count + 1, dtype=np.uint64)) | np.uint64(1)
-    best = np.full(count, np.uint64(2**64 - 1))
-    for k in range(0, len(shingles), 256):
-        best = np.minimum(best, (shingles[k : k + 256, None] * a + (shingles[k : k + 256, None] >> np.uint64(32)) * (a >> np.uint64(7))).min(axis=0))
-    return best
+_KEYS = _mix(np.arange(1, FINE + 1, dtype=np.uint64))
+_LOW, _HIGH = _KEYS.astype(np.uint32) | np.uint32(1), (_KEYS >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
+_BAND = _mix(np.arange(7, 7 + ROWS, dtype=np.uint64)) | np.uint64(1)
+
+
+def minima(shingles: np.ndarray, count: int = ROWS * BANDS) -> np.ndarray:
+    """Minima of the set under ``count`` fixed multiply-add hashes of both halves of its members."""
+    low, high = shingles.astype(np.uint32), (shingles >> np.uint64(32)).astype(np.uint32)
+    best = np.full(count, 2**32 - 1, np.uint32)
+    step = max(1, 98304 // count)
+    for k in range(0, len(shingles), step):
+        x = low[k : k + step, None] * _LOW[:count]
+        x += high[k : k + step, None] * _HIGH[:count]
+        np.minimum(best, x.min(axis=0), out=best)
+    return best.astype(np.uint64)
 
 
-def odd_sketch(best: np.ndarray) -> np.ndarray:
-    """The parity of how many minima fall on each of BITS places."""
-    at = _mix(best + np.arange(len(best), dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) % np.uint64(BITS)
-    return np.packbits((np.bincount(at.astype(np.int64), minlength=BITS) & 1).astype(np.uint8))
+def odd_sketch(best: np.ndarray, bits: int = BITS) -> np.ndarray:
+    """The parity of how many minima fall on each of ``bits`` places."""
+    at = _mix(best + np.arange(len(best), dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) % np.uint64(bits)
+    return np.packbits((np.bincount(at.astype(np.int64), minlength=bits) & 1).astype(np.uint8))
 
 
-def sketch_distance(threshold: float, slack: float = 0.10) -> int:
+def sketch_distance(threshold: float, slack: float = SLACK, count: int = ROWS * BANDS, bits: int = BITS) -> int:
     """XOR bits expected of sets ``slack`` less similar than the threshold: beyond it a pair is dropped."""
-    differ = 2 * ROWS * BANDS * (1 - (threshold - slack))
-    return int(BITS / 2 * (1 - np.exp(-2 * differ / BITS)))
+    differ = 2 * count * (1 - (threshold - slack))
+    return int(bits / 2 * (1 - np.exp(-2 * differ / bits)))
+
+
+def _digest(words: list[bytes]) -> bytes:
+    return hashlib.md5(b" ".join(words)).digest()
 
 
 def _sketch(batches):
-    shingle = Shingler()
+    shingle, known = Shingler(), {}
     for batch in batches:
         rows = []
-        for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            found = shingle(text)
-            best = minima(found)
-            bands = _mix(best.reshape(BANDS, ROWS) @ (_mix(np.arange(7, 7 + ROWS, dtype=np.uint64)) | np.uint64(1)) + np.arange(BANDS, dtype=np.uint64))
-            rows.append((key, len(found), bands.view(np.int64).tolist() if len(found) else [], odd_sketch(best).view(np.int64).tolist()))
-        columns = list(zip(*rows, strict=True)) if rows else [[], [], [], []]
-        yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int64()), pa.array(columns[2], pa.list_(pa.int64())), pa.array(columns[3], pa.list_(pa.int64()))], ["cls", "n_shingles", "bands", "odd"])
+        for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            words = words_of(text.as_py())
+            key = _digest(words)
+            if key not in known:
+                found = shingle(words)
+                best = minima(found)
+                bands = _mix(best.reshape(BANDS, ROWS) @ _BAND + np.arange(BANDS, dtype=np.uint64))
+                if len(known) >= 2048:
+                    known.clear()
+                known[key] = len(found), bands.view(np.int64).tolist() if len(found) else [], odd_sketch(best).view(np.int64).tolist()
+            rows.append((doc_id, key, *known[key]))
+        columns = list(zip(*rows, strict=True)) if rows else [[]] * 5
+        kinds = (pa.int64(), pa.binary(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()))
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["doc_id", "key", "n_shingles", "bands", "odd"])
+
+
+def _with_digests(batches):
+    for batch in batches:
+        keys = [_digest(words_of(t.as_py())) for t in batch.column(1)]
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(keys, pa.binary())], ["cls", "text", "key"])
+
+
+def _fine_sketch(batches):
+    shingle = Shingler()
+    for batch in batches:
+        found = [odd_sketch(minima(shingle(words_of(t.as_py())), FINE), FINE_BITS).view(np.int64).tolist() for t in batch.column(1)]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.int64()))], ["cls", "odd"])
 
 
 def _confirm(threshold: float):
@@ -107,13 +146,13 @@ def _confirm(threshold: float):
         shingle, last, held = Shingler(), None, None
         for batch in batches:
             out = []
-            for a, b, x, y in zip(*(batch.column(k).to_pylist() for k in range(4)), strict=True):
+            for a, b, x, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), batch.column(3), strict=True):
                 if a != last:
-                    last, held = a, shingle(x)
-                other = shingle(y)
+                    last, held = a, shingle(words_of(x.as_py()))
+                other = shingle(words_of(y.as_py()))
                 both = len(np.intersect1d(held, other, assume_unique=True))
                 out.append(100 * both >= top * (len(held) + len(other) - both))
-            yield pa.RecordBatch.from_arrays([batch.column(0).filter(pa.array(out)), batch.column(1).filter(pa.array(out))], ["a", "b"])
+            yield pa.RecordBatch.from_arrays([batch.column(k).filter(pa.array(out, pa.bool_())) for k in (0, 1)], ["a", "b"])
 
     return check
 
@@ -134,55 +173,128 @@ def components(links: DataFrame) -> DataFrame:
             return label.select("node", "root")
 
 
+def _small(frame: DataFrame) -> DataFrame:
+    """A written frame of one or two numbers a row, broadcast if it holds at most ``SENT`` rows."""
+    return F.broadcast(frame) if frame.count() <= SENT else frame
+
+
+class _Linker:
+    """Confirmed links so far and the components they make, over the classes of one table of documents."""
+
+    def __init__(self, docs: DataFrame, reps: DataFrame, classes: DataFrame, threshold: float):
+        self.docs, self.reps, self.threshold = docs, reps, threshold
+        self.odd = classes.select("cls", "odd")
+        self.far = sketch_distance(threshold)
+        none = docs.sparkSession.createDataFrame([], "a long, b long")
+        self.links, self.roots = none, none.select(F.col("a").alias("node"), F.col("b").alias("root"))
+
+    def rooted(self, frame: DataFrame, node: str) -> DataFrame:
+        roots = self.roots.select(F.col("node").alias(node), F.col("root").alias(f"_{node}"))
+        return frame.join(roots, node, "left").withColumn(f"_{node}", F.coalesce(f"_{node}", node))
+
+    def apart(self, pairs: DataFrame) -> DataFrame:
+        """Pairs a, b in different components."""
+        return self.rooted(self.rooted(pairs, "a"), "b").filter("_a <> _b").drop("_a", "_b")
+
+    def close(self, pairs: DataFrame) -> DataFrame:
+        """Pairs whose sketches do not rule them out, and how many bits differ."""
+        x = pairs.join(self.odd.select(F.col("cls").alias("a"), F.col("odd").alias("oa")), "a").join(self.odd.select(F.col("cls").alias("b"), F.col("odd").alias("ob")), "b")
+        return x.select("a", "b", _differing("oa", "ob").alias("bits")).filter(F.col("bits") <= self.far)
+
+    def texts(self, asked: DataFrame) -> DataFrame:
+        """cls and text of the classes asked for; only these texts travel."""
+        asked = written(asked.select("cls").distinct(), "asked")
+        found = self.docs.select(F.col("doc_id").alias("cls"), "text").join(_small(asked), "cls", "left_semi")
+        found = found.mapInArrow(_with_digests, "cls long, text binary, key binary")
+        return found.join(self.reps.select("cls", "key"), ["cls", "key"], "left_semi").dropDuplicates(["cls", "key"]).select("cls", "text")
+
+    def refine(self, active: DataFrame) -> None:
+        """From now on compare the classes that are still active by finer sketches."""
+        self.odd = written(self.texts(active).mapInArrow(_fine_sketch, "cls long, odd array<long>"), "fine-sketches")
+        self.far = sketch_distance(self.threshold, FINE_SLACK, FINE, FINE_BITS)
+
+    def confirm(self, pairs: DataFrame) -> DataFrame:
+        """The pairs whose full sets reach the threshold. Partners of one class are dealt in runs of ``RUN``."""
+        pairs = written(pairs.select("a", "b"), "pairs")
+        texts = written(self.texts(pairs.select(F.col("a").alias("cls")).union(pairs.select("b"))), "texts")
+        runs = pairs.groupBy("a").agg(F.ceil(F.count("*") / RUN).alias("runs"))
+        dealt = pairs.join(runs, "a").select("a", "b", F.pmod(F.xxhash64("b"), "runs").alias("run"))
+        heads = texts.join(runs, texts["cls"] == runs["a"]).select("a", F.explode(F.sequence(F.lit(0).cast("long"), F.col("runs") - 1)).alias("run"), F.col("text").alias("ta"))
+        x = dealt.join(texts.select(F.col("cls").alias("b"), F.col("text").alias("tb")), "b").join(heads, ["a", "run"])
+        return x.select("a", "b", "ta", "tb").mapInArrow(_confirm(self.threshold), "a long, b long")
+
+    def add(self, pairs: DataFrame) -> None:
+        """Confirm these pairs and close the links."""
+        new = written(self.confirm(pairs), "confirmed")
+        if new.isEmpty():
+            return
+        self.links = self.links.unionByName(new)
+        self.roots = components(self.links)
+
+    def link(self, pairs: DataFrame) -> None:
+        """Decide all close pairs: twice the nearest partner of each class, then what is still apart."""
+        left = written(self.close(pairs), "stars")
+        for _ in range(2):
+            if left.isEmpty():
+                return
+            both = left.select(F.col("a").alias("node"), "bits", F.col("b").alias("other")).union(left.select("b", "bits", "a"))
+            best = both.groupBy("node").agg(F.min(F.struct("bits", "other")).alias("best"))
+            nearest = best.select(F.least("node", "best.other").alias("a"), F.greatest("node", "best.other").alias("b")).distinct()
+            nearest = written(nearest, "nearest")
+            self.add(nearest)
+            left = written(self.apart(left.join(nearest, ["a", "b"], "left_anti")), "stars")
+        if not left.isEmpty():
+            self.add(left)
+
+
+def _differing(a: str, b: str) -> Column:
+    return F.aggregate(F.zip_with(a, b, lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda s, v: s + v)
+
+
+def _heads(buckets: DataFrame, turn: int) -> DataFrame:
+    """Up to HEADS classes of each bucket: those nearest in number to fixed marks, and so often the same in many buckets."""
+    marks = _mix(np.arange(turn * HEADS + 1, (turn + 1) * HEADS + 1, dtype=np.uint64)) >> np.uint64(1)
+    each = [F.min(F.col("cls").bitwiseXOR(F.lit(int(m)))).alias(f"h{i}") for i, m in enumerate(marks)]
+    back = F.array(*(F.col(f"h{i}").bitwiseXOR(F.lit(int(m))) for i, m in enumerate(marks)))
+    return buckets.groupBy("band").agg(F.count("*").alias("n"), *each).filter("n > 1").select("band", "n", F.array_distinct(back).alias("heads"))
+
+
 def near_duplicates(docs: DataFrame, threshold: float = 0.75) -> DataFrame:
     """doc_id, n_shingles, component_id and kept for every row of ``docs`` (doc_id, text)."""
-    base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter("doc_id is not null")
-    spaced = F.regexp_replace(F.translate(F.coalesce("text", F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"), r"[\x20\x09-\x0D]+", " ")
-    keyed = base.select("doc_id", F.md5(F.trim(spaced).cast("binary")).alias("key"))
-    members = written(keyed.groupBy("key", "doc_id").agg(F.count("*").alias("times")), "members")
-    reps = members.groupBy("key").agg(F.min("doc_id").alias("cls"))
-    # one text for each class: that of its smallest id
-    first = base.join(reps.select(F.col("cls").alias("doc_id")), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    sketched = written(first.select(F.col("doc_id"), "text").mapInArrow(_sketch, "cls long, n_shingles long, bands array<long>, odd array<long>"), "sketches")
-    hits = sketched.select("cls", F.explode("bands").alias("band"))
-    heads = hits.groupBy("band").agg(F.min("cls").alias("head"), F.count("*").alias("n")).filter("n > 1")
-    crowded = written(hits.join(heads, "band").select("band", "cls", "head", "n"), "buckets")
-    odd = sketched.select("cls", "odd", "bands")
-    far = sketch_distance(threshold)
-
-    def close(pairs: DataFrame) -> DataFrame:
-        x = pairs.join(odd.select(F.col("cls").alias("a"), F.col("odd").alias("oa")), "a").join(odd.select(F.col("cls").alias("b"), F.col("odd").alias("ob")), "b")
-        bits = F.aggregate(F.zip_with("oa", "ob", lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda s, v: s + v)
-        return x.filter(bits <= far).select("a", "b")
-
-    def confirm(pairs: DataFrame) -> DataFrame:
-        texts = first.select("doc_id", "text")
-        x = pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("ta")), "a").join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("tb")), "b")
-        return x.select("a", "b", "ta", "tb").mapInArrow(_confirm(threshold), "a long, b long")
-
-    stars = close(crowded.filter("cls <> head").select(F.col("head").alias("a"), F.col("cls").alias("b")).distinct())
-    # first the smallest partner of each class, which joins most of a group at once
-    stars = written(stars, "stars")
-    nearest = stars.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
-    links = written(confirm(nearest), "confirmed")
-    roots = components(links)
-
-    def rooted(frame: DataFrame, node: str) -> DataFrame:
-        return frame.join(roots.select(F.col("node").alias(node), F.col("root").alias(f"_{node}")), node, "left").withColumn(f"_{node}", F.coalesce(f"_{node}", node))
-
-    apart = rooted(crowded.filter("n > 2").select("band", F.col("cls")), "cls")
-    mixed = apart.groupBy("band").agg(F.min("_cls").alias("lo"), F.max("_cls").alias("hi")).filter("lo < hi").select("band")
-    apart = apart.join(mixed, "band", "left_semi").join(odd, "cls")
-    left, right = (apart.select("band", *[F.col(c).alias(p + c) for c in ("cls", "_cls", "odd", "bands")]) for p in ("a", "b"))
-    bits = F.aggregate(F.zip_with("aodd", "bodd", lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda s, v: s + v)
-    # a pair is proposed by one of the bands that it shares
-    once = F.col("band") == F.array_min(F.array_intersect("abands", "bbands"))
-    later = left.join(right, "band").filter((F.col("acls") < F.col("bcls")) & (F.col("a_cls") != F.col("b_cls")) & (bits <= far) & once).select(F.col("acls").alias("a"), F.col("bcls").alias("b"))
-    rest = rooted(rooted(stars, "a"), "b").filter("_a <> _b").select("a", "b")
-    more = written(confirm(later.union(rest).distinct()), "confirmed")
-    roots = components(links.union(more))
-    final = rooted(reps.withColumn("node", F.col("cls")), "node").select("key", "cls", F.col("_node").alias("component_id"))
-    final = final.join(sketched.select("cls", "n_shingles"), "cls")
+    base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text")).filter("doc_id is not null")
+    sketched = written(base.mapInArrow(_sketch, SKETCH), "sketches")
+    members = written(sketched.groupBy("doc_id").agg(F.min("key").alias("key"), F.count("*").alias("times")), "members")
+    # one class for each sequence of words, named by its smallest id
+    reps = written(members.groupBy("key").agg(F.min("doc_id").alias("cls")), "classes")
+    first = sketched.join(reps.select(F.col("cls").alias("doc_id"), "key"), ["doc_id", "key"], "left_semi").dropDuplicates(["doc_id", "key"])
+    classes = written(first.select(F.col("doc_id").alias("cls"), "n_shingles", "bands", "odd"), "class-sketches")
+    discard(sketched)
+    linker = _Linker(base, reps, classes, threshold)
+    active = classes.select("cls", F.explode("bands").alias("band"))
+    for turn in range(ROUNDS):
+        heads = _heads(active, turn)
+        met = active.join(heads, "band")
+        others = met.select("cls", F.explode(F.array_except("heads", F.array("cls"))).alias("head"))
+        pairs = others.select(F.least("cls", "head").alias("a"), F.greatest("cls", "head").alias("b")).distinct()
+        pairs = written(linker.apart(pairs) if turn else pairs, "met")
+        # heads have met their whole bucket
+        left = written(met.filter(~F.array_contains("heads", F.col("cls"))).select("band", "cls"), "buckets")
+        linker.link(pairs)
+        apart = linker.rooted(left, "cls")
+        mixed = apart.groupBy("band").agg(F.min("_cls").alias("lo"), F.max("_cls").alias("hi")).filter("lo < hi").select("band")
+        active = written(apart.join(mixed, "band", "left_semi").select("band", "cls"), "buckets")
+        if active.isEmpty():
+            break
+        if not turn:
+            linker.refine(active)
+    else:
+        rest = linker.rooted(active, "cls").join(linker.odd, "cls").join(classes.select("cls", F.col("odd").alias("first")), "cls")
+        left, right = (rest.select("band", *[F.col(c).alias(p + c) for c in ("cls", "_cls", "odd", "first")]) for p in ("a", "b"))
+        near = (_differing("afirst", "bfirst") <= sketch_distance(threshold)) & (_differing("aodd", "bodd") <= linker.far)
+        cross = left.join(right, "band").filter((F.col("acls") < F.col("bcls")) & (F.col("a_cls") != F.col("b_cls")) & near)
+        linker.link(written(cross.select(F.col("acls").alias("a"), F.col("bcls").alias("b")).distinct(), "met"))
+    final = linker.rooted(reps.withColumn("node", F.col("cls")), "node").select("key", "cls", F.col("_node").alias("component_id"))
+    final = final.join(classes.select("cls", "n_shingles"), "cls")
     out = members.join(final, "key").withColumn("times", F.explode(F.sequence(F.lit(1).cast("long"), "times")))
     alone = F.col("n_shingles") == 0
     root = F.when(alone, F.col("doc_id")).otherwise(F.col("component_id"))

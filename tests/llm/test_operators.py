@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import itertools
+import re
 import zlib
 
 import numpy as np
@@ -26,7 +27,7 @@ def documents(spark, texts):
 
 def brute_components(texts, top=75):
     def shingles(t):
-        w = neardup.SPLIT.findall(t.translate(neardup._UPPER)) if t else []
+        w = re.findall(r"[^\x20\x09-\x0D]+", t.translate({c: c + 32 for c in range(65, 91)})) if t else []
         return {tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))} if w else set()
 
     sets = [shingles(t) for t in texts]
@@ -62,6 +63,53 @@ def test_near_duplicates_of_nothing(spark):
     assert neardup.near_duplicates(documents(spark, ["x"]).limit(0)).collect() == []
 
 
+def near_copies(size: int, share: float, words: int = 120) -> list[str]:
+    """Copies of one text with this share of its words replaced, each in places of its own."""
+    base = prose(4, words)
+    out = []
+    for k in range(size):
+        rng = np.random.default_rng(1000 + k)
+        changed = list(base)
+        for at in rng.choice(words, round(share * words), replace=False):
+            changed[at] = f"w{rng.integers(10**6)}"
+        out.append(" ".join(changed))
+    return out
+
+
+@pytest.mark.parametrize("share", [0.017, 0.03, 0.05])
+def test_a_group_of_near_copies_matches_brute_force(spark, share):
+    """Links of all, some and few pairs of a group; what is apart after the rounds is compared in full."""
+    texts = near_copies(60, share) + near_copies(20, 0.0) + [" ".join(prose(9, 50))]
+    out = neardup.near_duplicates(documents(spark, texts))
+    assert sorted(tuple(r) for r in out.collect()) == brute_components(texts)
+
+
+def test_confirmed_pairs_grow_with_a_group_and_not_with_its_square(spark, monkeypatch):
+    """Two words of 160 replaced: most pairs reach the threshold."""
+    keep = neardup.written
+    confirmed = {}
+    for size in (500, 1000, 2000):
+        seen = confirmed.setdefault(size, [])
+
+        def written(df, name, seen=seen):
+            out = keep(df, name)
+            seen.extend([out.count()] * (name == "pairs"))
+            return out
+
+        monkeypatch.setattr(neardup, "written", written)
+        out = neardup.near_duplicates(documents(spark, near_copies(size, 0.0125, 160)))
+        assert out.agg(F.countDistinct("component_id")).first()[0] == 1
+    counts = {size: sum(n) for size, n in confirmed.items()}
+    assert all(n < 8 * size for size, n in counts.items()), counts
+
+
+def test_ids_that_repeat_and_texts_that_differ(spark):
+    rows = [(1, "a b c d e f"), (1, "a b c d e f"), (2, "A b  c d e f"), (3, "x"), (3, "y"), (None, "x"), (4, None), (5, " "), (6, "\u00c9 x"), (7, "\u00e9 x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "'k' AS key", "1 AS cls", "2 AS band")
+    out = sorted(tuple(r) for r in neardup.near_duplicates(docs).collect())
+    assert out == [(1, 2, 1, True), (1, 2, 1, True), (2, 2, 1, False), (3, 1, 3, True), (3, 1, 3, True), (4, 0, 4, True), (5, 0, 5, True), (6, 1, 6, True), (7, 1, 7, True)]
+
+
 def test_odd_sketch_distance_follows_difference():
     a = np.arange(1, 1001, dtype=np.uint64) * np.uint64(7919)
     sketch = neardup.odd_sketch(neardup.minima(neardup._mix(a)))
