@@ -7,12 +7,11 @@ give band keys and an odd sketch: a bitmap whose bits flip for each minimum, so
 of two bitmaps estimates how many minima differ. Bands propose pairs, sketches drop those
 clearly below the threshold, and shingle sets decide.
 
-Groups are not paired out. In each of ``ROUNDS`` rounds the classes of a bucket meet ``HEADS`` of them, the same
-ones wherever possible in all buckets of a group, and a head that has met its bucket leaves it. First each class
+Groups are not paired out. The classes of a bucket meet ``HEADS`` of them, the same
+ones wherever possible in all buckets of a group. First each class
 confirms the partner whose sketch is nearest, and once more the nearest that is still in another component; then
-all pairs still apart are confirmed. A bucket is done once its classes lie in one component; most of a group falls into one in the
-first round; what is left then is compared by finer sketches. What lies in different components after the
-last round is compared pair by pair. A pair at the threshold shares no band with probability 4e-6; the first sketches
+all pairs still apart are confirmed. A bucket is done once its classes lie in one component, as most of a group then does.
+Classes of one bucket that are still in different components are compared with each other, by finer sketches. A pair at the threshold shares no band with probability 4e-6; the first sketches
 drop such a pair with about 2e-6 (4 of 2,000,000 simulated), the finer ones with less: their slack is five standard deviations.
 
 Null and empty texts have no shingles and stay alone; rows without an id are left out. Rows that share
@@ -33,7 +32,7 @@ from rowforge.llm.shared import discard, written
 
 ROWS, BANDS, WORDS, BITS, SLACK = 6, 64, 5, 1024, 0.14
 FINE, FINE_BITS, FINE_SLACK = 4096, 16384, 0.04
-HEADS, ROUNDS, RUN, SENT = 4, 2, 1000, 1 << 20
+HEADS, RUN, SENT = 4, 1000, 1 << 20
 SKETCH = "doc_id long, key binary, n_shingles long, bands array<long>, odd array<long>"
 
 
@@ -202,38 +201,43 @@ class _Linker:
         return x.select("a", "b", _differing("oa", "ob").alias("bits")).filter(F.col("bits") <= self.far)
 
     def texts(self, asked: DataFrame) -> DataFrame:
-        """cls and text of the classes asked for; only these texts travel."""
+        """cls and text of the classes asked for, written; only these texts travel."""
         asked = written(asked.select("cls").distinct(), "asked")
         found = self.docs.select(F.col("doc_id").alias("cls"), "text").join(_small(asked), "cls", "left_semi")
         found = found.mapInArrow(_with_digests, "cls long, text binary, key binary")
-        return found.join(self.reps.select("cls", "key"), ["cls", "key"], "left_semi").dropDuplicates(["cls", "key"]).select("cls", "text")
+        found = found.join(self.reps.select("cls", "key"), ["cls", "key"], "left_semi").dropDuplicates(["cls", "key"])
+        out = written(found.select("cls", "text"), "texts")
+        discard(asked)
+        return out
 
     def refine(self, active: DataFrame) -> None:
         """From now on compare the classes that are still active by finer sketches."""
-        self.odd = written(self.texts(active).mapInArrow(_fine_sketch, "cls long, odd array<long>"), "fine-sketches")
+        texts = self.texts(active)
+        self.odd = written(texts.mapInArrow(_fine_sketch, "cls long, odd array<long>"), "fine-sketches")
+        discard(texts)
         self.far = sketch_distance(self.threshold, FINE_SLACK, FINE, FINE_BITS)
 
     def confirm(self, pairs: DataFrame) -> DataFrame:
-        """The pairs whose full sets reach the threshold. Partners of one class are dealt in runs of ``RUN``."""
-        pairs = written(pairs.select("a", "b"), "pairs")
-        texts = written(self.texts(pairs.select(F.col("a").alias("cls")).union(pairs.select("b"))), "texts")
+        """The pairs whose full sets reach the threshold, written. Partners of one class are dealt in runs of ``RUN``."""
+        texts = self.texts(pairs.select(F.col("a").alias("cls")).union(pairs.select("b")))
         runs = pairs.groupBy("a").agg(F.ceil(F.count("*") / RUN).alias("runs"))
         dealt = pairs.join(runs, "a").select("a", "b", F.pmod(F.xxhash64("b"), "runs").alias("run"))
         heads = texts.join(runs, texts["cls"] == runs["a"]).select("a", F.explode(F.sequence(F.lit(0).cast("long"), F.col("runs") - 1)).alias("run"), F.col("text").alias("ta"))
         x = dealt.join(texts.select(F.col("cls").alias("b"), F.col("text").alias("tb")), "b").join(heads, ["a", "run"])
-        return x.select("a", "b", "ta", "tb").mapInArrow(_confirm(self.threshold), "a long, b long")
+        out = written(x.select("a", "b", "ta", "tb").mapInArrow(_confirm(self.threshold), "a long, b long"), "confirmed")
+        discard(texts)
+        return out
 
     def add(self, pairs: DataFrame) -> None:
-        """Confirm these pairs and close the links."""
-        new = written(self.confirm(pairs), "confirmed")
-        if new.isEmpty():
-            return
-        self.links = self.links.unionByName(new)
-        self.roots = components(self.links)
+        """Confirm these written pairs and close the links."""
+        new = self.confirm(pairs)
+        if not new.isEmpty():
+            self.links = self.links.unionByName(new)
+            self.roots = components(self.links)
 
     def link(self, pairs: DataFrame) -> None:
         """Decide all close pairs: twice the nearest partner of each class, then what is still apart."""
-        left = written(self.close(pairs), "stars")
+        left = written(self.close(pairs), "pairs")
         for _ in range(2):
             if left.isEmpty():
                 return
@@ -242,18 +246,22 @@ class _Linker:
             nearest = best.select(F.least("node", "best.other").alias("a"), F.greatest("node", "best.other").alias("b")).distinct()
             nearest = written(nearest, "nearest")
             self.add(nearest)
-            left = written(self.apart(left.join(nearest, ["a", "b"], "left_anti")), "stars")
+            after = written(self.apart(left.join(nearest, ["a", "b"], "left_anti")), "pairs")
+            discard(left)
+            discard(nearest)
+            left = after
         if not left.isEmpty():
             self.add(left)
+        discard(left)
 
 
 def _differing(a: str, b: str) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda s, v: s + v)
 
 
-def _heads(buckets: DataFrame, turn: int) -> DataFrame:
+def _heads(buckets: DataFrame) -> DataFrame:
     """Up to HEADS classes of each bucket: those nearest in number to fixed marks, and so often the same in many buckets."""
-    marks = _mix(np.arange(turn * HEADS + 1, (turn + 1) * HEADS + 1, dtype=np.uint64)) >> np.uint64(1)
+    marks = _mix(np.arange(1, HEADS + 1, dtype=np.uint64)) >> np.uint64(1)
     each = [F.min(F.col("cls").bitwiseXOR(F.lit(int(m)))).alias(f"h{i}") for i, m in enumerate(marks)]
     back = F.array(*(F.col(f"h{i}").bitwiseXOR(F.lit(int(m))) for i, m in enumerate(marks)))
     return buckets.groupBy("band").agg(F.count("*").alias("n"), *each).filter("n > 1").select("band", "n", F.array_distinct(back).alias("heads"))
@@ -270,29 +278,26 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.75) -> DataFrame:
     classes = written(first.select(F.col("doc_id").alias("cls"), "n_shingles", "bands", "odd"), "class-sketches")
     discard(sketched)
     linker = _Linker(base, reps, classes, threshold)
-    active = classes.select("cls", F.explode("bands").alias("band"))
-    for turn in range(ROUNDS):
-        heads = _heads(active, turn)
-        met = active.join(heads, "band")
-        others = met.select("cls", F.explode(F.array_except("heads", F.array("cls"))).alias("head"))
-        pairs = others.select(F.least("cls", "head").alias("a"), F.greatest("cls", "head").alias("b")).distinct()
-        pairs = written(linker.apart(pairs) if turn else pairs, "met")
-        # heads have met their whole bucket
-        left = written(met.filter(~F.array_contains("heads", F.col("cls"))).select("band", "cls"), "buckets")
-        linker.link(pairs)
-        apart = linker.rooted(left, "cls")
-        mixed = apart.groupBy("band").agg(F.min("_cls").alias("lo"), F.max("_cls").alias("hi")).filter("lo < hi").select("band")
-        active = written(apart.join(mixed, "band", "left_semi").select("band", "cls"), "buckets")
-        if active.isEmpty():
-            break
-        if not turn:
-            linker.refine(active)
-    else:
-        rest = linker.rooted(active, "cls").join(linker.odd, "cls").join(classes.select("cls", F.col("odd").alias("first")), "cls")
+    buckets = classes.select("cls", F.explode("bands").alias("band"))
+    met = buckets.join(_heads(buckets), "band")
+    others = met.select("cls", F.explode(F.array_except("heads", F.array("cls"))).alias("head"))
+    pairs = others.select(F.least("cls", "head").alias("a"), F.greatest("cls", "head").alias("b")).distinct()
+    # heads have met their whole bucket and leave it
+    left = written(met.filter(~F.array_contains("heads", F.col("cls"))).select("band", "cls"), "buckets")
+    linker.link(pairs)
+    apart = linker.rooted(left, "cls")
+    mixed = apart.groupBy("band").agg(F.min("_cls").alias("lo"), F.max("_cls").alias("hi")).filter("lo < hi").select("band")
+    active = written(apart.join(mixed, "band", "left_semi").select("band", "cls", "_cls"), "buckets")
+    discard(left)
+    if not active.isEmpty():
+        linker.refine(active)
+        rest = active.join(linker.odd, "cls").join(classes.select("cls", F.col("odd").alias("first")), "cls")
         left, right = (rest.select("band", *[F.col(c).alias(p + c) for c in ("cls", "_cls", "odd", "first")]) for p in ("a", "b"))
         near = (_differing("afirst", "bfirst") <= sketch_distance(threshold)) & (_differing("aodd", "bodd") <= linker.far)
         cross = left.join(right, "band").filter((F.col("acls") < F.col("bcls")) & (F.col("a_cls") != F.col("b_cls")) & near)
-        linker.link(written(cross.select(F.col("acls").alias("a"), F.col("bcls").alias("b")).distinct(), "met"))
+        cross = written(cross.select(F.col("acls").alias("a"), F.col("bcls").alias("b")).distinct(), "pairs")
+        if not cross.isEmpty():
+            linker.add(cross)
     final = linker.rooted(reps.withColumn("node", F.col("cls")), "node").select("key", "cls", F.col("_node").alias("component_id"))
     final = final.join(classes.select("cls", "n_shingles"), "cls")
     out = members.join(final, "key").withColumn("times", F.explode(F.sequence(F.lit(1).cast("long"), "times")))

@@ -89,18 +89,18 @@ def test_confirmed_pairs_grow_with_a_group_and_not_with_its_square(spark, monkey
     keep = neardup.written
     confirmed = {}
     for size in (500, 1000, 2000):
-        seen = confirmed.setdefault(size, [])
+        seen = confirmed.setdefault(size, [])  # all pairs written: proposed, nearest, still apart
 
         def written(df, name, seen=seen):
             out = keep(df, name)
-            seen.extend([out.count()] * (name == "pairs"))
+            seen.extend([out.count()] * (name in ("nearest", "pairs")))
             return out
 
         monkeypatch.setattr(neardup, "written", written)
         out = neardup.near_duplicates(documents(spark, near_copies(size, 0.0125, 160)))
         assert out.agg(F.countDistinct("component_id")).first()[0] == 1
     counts = {size: sum(n) for size, n in confirmed.items()}
-    assert all(n < 8 * size for size, n in counts.items()), counts
+    assert all(n < 120 * size for size, n in counts.items()) and counts[2000] < 6 * counts[500], counts
 
 
 def test_ids_that_repeat_and_texts_that_differ(spark):
