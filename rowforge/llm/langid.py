@@ -129,23 +129,24 @@ def train(docs: DataFrame, landmarks: int = 40, rows: int = 500, ridge: float =
 
 def predict(docs: DataFrame, model: LanguageModel) -> DataFrame:
     """``docs`` with lang_pred and lang_score for each whole text."""
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+    # plain values: a broadcast object would ask the workers for this package
+    sent = docs.sparkSession.sparkContext.broadcast((model.names, model.landmarks, model.weights))
 
     def label(texts: list[str]) -> list[tuple[str, float]]:
-        m = sent.value
-        known = [k for k, t in enumerate(texts) if m.names and not _no_text(t)]
+        names, landmarks, weights = sent.value
+        known = [k for k, t in enumerate(texts) if names and not _no_text(t)]
         out = [("und", 0.0)] * len(texts)
         at = 0
         for run in sliced([texts[k] for k in known], 1 << 19):
             matrix, owner = presence(run)
-            values = (matrix @ m.landmarks.T).astype(np.float64) @ m.weights
+            values = (matrix @ landmarks.T).astype(np.float64) @ weights
             starts = np.flatnonzero(np.diff(owner, prepend=-1))
             mean = np.add.reduceat(values, starts) / np.diff(np.append(starts, len(owner)))[:, None]
             best = mean.argmax(axis=1)
             positive = np.maximum(mean, 0.0)
             sure = positive[np.arange(len(run)), best] / np.maximum(positive.sum(axis=1), 1e-12)
             for k, b, s in zip(known[at : at + len(run)], best, sure, strict=True):
-                out[k] = (m.names[b], float(min(1.0, s)))
+                out[k] = (names[b], float(min(1.0, s)))
             at += len(run)
         return out
 

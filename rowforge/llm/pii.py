@@ -167,7 +167,10 @@ def email(found: Column, key: str) -> Column:
         return F.transform(out, shift)
 
     mixed = F.aggregate(F.array(*[F.lit(k) for k in range(4)]), chars, step)
-    single = F.transform(chars, lambda c: F.when(F.ascii(c).between(97, 122), F.char((219 - F.ascii(c)).cast("bigint"))).when(F.ascii(c).between(48, 57), F.char((105 - F.ascii(c)).cast("bigint"))).otherwise(c))
+    # a name of one symbol is moved on by a keyed hash of its host, never to itself
+    turn = F.conv(F.substring(F.sha2(F.concat_ws(":", F.lit(key), F.lit("email"), host), 256), 1, 8), 16, 10).cast("bigint")
+    on = lambda c, low, many: F.char((F.pmod(F.ascii(c) - low + 1 + F.pmod(turn, F.lit(many - 1)), F.lit(many)) + low).cast("bigint"))
+    single = F.transform(chars, lambda c: F.when(F.ascii(c).between(97, 122), on(c, 97, 26)).when(F.ascii(c).between(48, 57), on(c, 48, 10)).otherwise(c))
     return F.concat(F.array_join(F.when(n > 1, mixed).otherwise(single), ""), F.lit("@"), host)
 
 

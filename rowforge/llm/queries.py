@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from rowforge.llm import ann, chat, decontaminate, divergence, exactdedup, html_text, langid, linededup, neardup, packing, pii, ranked, toxicity
 from rowforge.llm.shared import fold
 
-MIN_SITES, MAX_SHARE, TOKENS = 8, 0.5, 2048
+MIN_SITES, TOKENS = 8, 2048
 
 
 def tokenizer_path() -> str:
@@ -52,7 +52,7 @@ def op5_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the lines that at least eight sites share."""
-    return linededup.remove_boilerplate(table(spark, sf_dir, "documents"), MIN_SITES, MAX_SHARE)
+    return linededup.remove_boilerplate(table(spark, sf_dir, "documents"), MIN_SITES)
 
 
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -104,7 +104,7 @@ QUERIES = {
     )
 }
 ORACLES = {
-    "op6_line_dedup": linededup.boilerplate_sql("documents", MIN_SITES, MAX_SHARE),
+    "op6_line_dedup": linededup.boilerplate_sql("documents", MIN_SITES),
     "op8_chat_format": chat.DIGEST_SQL,
     "op11_exact_dedup": exactdedup.duplicates_sql("documents"),
     "op12_source_divergence": divergence.divergence_sql("documents"),

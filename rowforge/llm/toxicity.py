@@ -20,10 +20,11 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rowforge.llm.shared import fold, hash_share, sliced
+from rowforge.llm.shared import discard, fold, hash_share, sliced, written
 
 # The letters that each mark may stand for.
 LEET = {"0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g",
@@ -176,15 +177,27 @@ class ToxicityModel:
         return 1.0 - clean
 
 
-def _feature_counts(sample: DataFrame, chars: CharModel, strong: dict[str, float]) -> DataFrame:
-    """Documents and toxic documents of each feature, over sample rows without strong features."""
+def _features(sample: DataFrame, chars: CharModel) -> DataFrame:
+    """Features and label of each sampled text, written: texts are decoded once for all passes."""
+
+    def read(batches):
+        reader = Reader(chars)
+        for batch in batches:
+            found = [sorted(reader.features(text)) for text in batch.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array(found, pa.list_(pa.string())), batch.column(1)], ["features", "toxic"])
+
+    kind = sample.schema["toxic"].dataType.simpleString()
+    return written(sample.select("text", "toxic").mapInArrow(read, f"features array<string>, toxic {kind}"), "toxic-features")
+
+
+def _feature_counts(read: DataFrame, strong: dict[str, float]) -> DataFrame:
+    """Documents and toxic documents of each feature, over sampled texts without strong features."""
 
     def counts(batches):
-        reader, n, t = Reader(chars), Counter(), Counter()
+        n, t = Counter(), Counter()
         for batch in batches:
-            for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                found = reader.features(text)
-                if found.isdisjoint(strong):
+            for found, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                if strong.keys().isdisjoint(found):
                     n[""] += 1
                     t[""] += toxic
                     n.update(found)
@@ -192,7 +205,7 @@ def _feature_counts(sample: DataFrame, chars: CharModel, strong: dict[str, float
                         t.update(found)
         yield pa.RecordBatch.from_arrays([pa.array(list(n), pa.string()), pa.array(list(n.values()), pa.int64()), pa.array([t[f] for f in n], pa.int64())], ["feature", "n", "t"])
 
-    return sample.select("text", "toxic").mapInArrow(counts, "feature string, n long, t long").groupBy("feature").agg(F.sum("n").alias("n"), F.sum("t").alias("t"))
+    return read.mapInArrow(counts, "feature string, n long, t long").groupBy("feature").agg(F.sum("n").alias("n"), F.sum("t").alias("t"))
 
 
 def train(docs: DataFrame, labels: DataFrame, max_rows: int = 20_000) -> ToxicityModel:
@@ -206,11 +219,13 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = 20_000) -> Toxicit
     rows = known.count()
     share = min(1.0, max_rows / max(rows, 1))
     known = known.filter(hash_share(F.col("doc_id"), F.lit("toxicity")) < share)
-    sample = docs.select("doc_id", "text").join(F.broadcast(known), "doc_id").dropDuplicates(["text"])
+    # equal texts count once, as toxic if one of them is
+    sample = docs.select("doc_id", "text").join(F.broadcast(known), "doc_id").groupBy("text").agg(F.max("toxic").alias("toxic"))
+    read = _features(sample, chars)
     lexicon: dict[str, float] = {}
     base = 0.05
     for precise in (0.95, 0.9, 0.9, 0.9):
-        counted = _feature_counts(sample, chars, lexicon).persist()
+        counted = _feature_counts(read, lexicon).persist()
         n, t = next(((r.n, r.t) for r in counted.filter("feature = ''").collect()), (0, 0))
         base = min(0.4, (t + 0.5) / (n + 2.0))
         # so many toxic documents that no feature holds them alone by chance
@@ -220,15 +235,17 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = 20_000) -> Toxicit
         if not found:
             break
         lexicon |= {r.feature: (r.t + 0.5) / (r.n + 1.0) for r in found}
+    discard(read)
     return ToxicityModel(chars, lexicon, base)
 
 
 def score(docs: DataFrame, model: ToxicityModel) -> DataFrame:
     """``docs`` with toxic_score (0 to 1) and toxic_pred (1 from 0.5 on), every whole text read."""
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+    # as bytes that hold the classes too: a broadcast object would ask the workers for this package
+    sent = docs.sparkSession.sparkContext.broadcast(cloudpickle.dumps(model))
 
     def scores(batches):
-        m = sent.value
+        m = cloudpickle.loads(sent.value)
         reader = Reader(m.chars, m.lexicon)
         for batch in batches:
             out = [m.score(reader.features(x)) for x in batch.column(batch.schema.get_field_index("text")).to_pylist()]

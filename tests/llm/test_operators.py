@@ -1,8 +1,12 @@
 from __future__ import annotations
 
 import itertools
+import os
 import re
+import subprocess
+import sys
 import zlib
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -424,3 +428,37 @@ def test_feistel_permutes_its_domain(spark):
 def test_crc_of_pieces(spark):
     ids = np.arange(5, dtype="<u4").tobytes()
     assert spark.range(1).select(F.crc32(F.lit(ids))).first()[0] == zlib.crc32(ids)
+
+
+def test_names_of_one_letter_are_keyed(spark):
+    mails = [f"{c}@one.example" for c in "abcxyz019"]
+    docs = spark.createDataFrame([(k, f"write to {m} now") for k, m in enumerate(mails)], "doc_id long, text string")
+    found = {key: [r.text.split()[2] for r in pii.pseudonymise(docs, key).orderBy("doc_id").collect()] for key in ("one", "two", "three", "four")}
+    for out in found.values():
+        assert all(a != b and re.fullmatch(r"[a-z0-9]@one\.example", a) for a, b in zip(out, mails, strict=True))
+        assert len(set(out)) == len(mails)
+    assert len({tuple(out) for out in found.values()}) > 1
+
+
+APART = """
+import sys
+sys.path.insert(0, {root!r})
+from pyspark.sql import SparkSession
+from rowforge.llm import langid, toxicity
+spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").config("spark.sql.shuffle.partitions", "2").getOrCreate()
+rows = [(k, ("the cat and the dog " if k % 2 else "le chat et le chien ") * 5 + "abcdefghij"[k // 20] * (1 + k % 20) + (" vilest" if k % 5 == 0 else ""), "en" if k % 2 else "fr") for k in range(200)]
+docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+model = langid.train(docs)
+right = langid.predict(docs.select("doc_id", "text", "lang"), model).filter("lang = lang_pred").count()
+labels = spark.createDataFrame([(k, int(k % 5 == 0)) for k in range(200)], "doc_id long, toxic int")
+caught = toxicity.score(docs, toxicity.train(docs, labels)).filter("toxic_pred = 1").count()
+print("RESULT", right, caught)
+"""
+
+
+def test_workers_need_no_copy_of_the_package(tmp_path):
+    """Workers get PYTHONPATH and the working directory from the driver, but not its sys.path."""
+    env = {k: v for k, v in os.environ.items() if k not in ("PYTHONPATH", "PYSPARK_PYTHON")} | {"PYSPARK_PYTHON": sys.executable}
+    root = str(Path(__file__).resolve().parents[2])
+    ended = subprocess.run([sys.executable, "-c", APART.format(root=root)], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
+    assert "RESULT 200 40" in ended.stdout, ended.stderr[-3000:]
