@@ -15,7 +15,6 @@ the result is empty. Columns other than the id and the text are not read.
 from __future__ import annotations
 
 from collections import Counter
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -29,23 +28,84 @@ SALTS = 64
 PIECES = "doc_id long, piece int, start long, length long, ids binary"
 
 
+def _ids(encoded) -> bytes:
+    return np.array(encoded.ids, "<u4").tobytes()
+
+
 def whole_encoder(tokenizer):
-    """The ids of each text, encoded as it stands."""
-    return lambda texts: [x.ids for x in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    """The ids of each text, encoded as it stands, as little-endian unsigned 32-bit numbers."""
+    return lambda texts: [_ids(x) for x in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
 
-def word_encoder(tokenizer, keep: int = 300_000, longest: int = 64):
-    """The ids of each text, word by word; the ids of words met before are remembered."""
-    seen: dict[str, list[int]] = {}
+def word_encoder(tokenizer, keep: int = 600_000, longest: int = 64, mark: str = "\x01", run: int = 1000):
+    """The ids of each text, word by word; the ids of words met before are remembered as bytes.
 
-    def encode(texts: list[str]) -> list[list[int]]:
+    New words are encoded many at a time, set apart by a control character whose own id shows where
+    each ends; words that hold it, and tokenizers that have no such id, are encoded singly. Letters before one
+    closing mark are a word of their own, if samples show that the tokenizer parts them, too. Words of letters need no
+    such sign where the tokenizer itself marks the ends of words.
+    """
+    seen: dict[str, bytes] = {}
+    sign = tokenizer.encode(mark, add_special_tokens=False).ids
+    between = f" {mark} "
+
+    def singly(words: list[str]) -> list[bytes]:
+        return [_ids(x) for x in tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+
+    def together(words: list[str]) -> list[bytes]:
+        joined = between.join(words)
+        if len(sign) != 1 or joined.count(mark) != len(words) - 1:
+            return singly(words)
+        flat = np.array(tokenizer.encode_batch_fast([joined], add_special_tokens=False)[0].ids, "<u4")
+        cuts = np.flatnonzero(flat == sign[0])
+        if len(cuts) != len(words) - 1:
+            return singly(words)
+        data, starts, ends = flat.tobytes(), [0, *((cuts + 1) * 4).tolist()], [*(cuts * 4).tolist(), 4 * len(flat)]
+        return [data[i:j] for i, j in zip(starts, ends, strict=True)]
+
+    suffix = getattr(tokenizer.model, "end_of_word_suffix", None)
+    closing = np.array(sorted(v for k, v in tokenizer.get_vocab().items() if suffix and k.endswith(suffix)), np.int64)
+    closes = np.zeros(int(closing.max(initial=0)) + 1, bool)
+    closes[closing] = True
+
+    def lettered(words: list[str]) -> list[bytes]:
+        """Words of letters only: where the tokenizer marks the ends of words, these marks tell them apart."""
+        if not suffix:
+            return together(words)
+        flat = np.array(tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, "<u4")
+        ends = 4 * (np.flatnonzero(closes[np.minimum(flat, len(closes) - 1)]) + 1)
+        if len(ends) != len(words) or ends[-1] != 4 * len(flat):
+            return together(words)
+        data, ends = flat.tobytes(), ends.tolist()
+        return [data[i:j] for i, j in zip([0, *ends], ends, strict=False)]
+
+    def parted(stop: str) -> bool:
+        samples = ["a", "Ab", "the", "ends", "\u00e9t\u00e9", "zzqxkv"]
+        return all(a == b + c for a, b, c in zip(singly([x + stop for x in samples]), singly(samples), singly([stop] * len(samples)), strict=True))
+
+    stops = {x: singly([x])[0] for x in ".,;:!?" if parted(x)}
+
+    def learn(new: list[str]) -> None:
+        ends = {w: w[:-1] for w in new if w[-1:] in stops and w[:-1].isalpha()}
+        new = list({*new, *ends.values()}.difference(ends).difference(seen))
+        letters = [w for w in new if w.isalpha()]
+        for words, way in ((letters, lettered), ([w for w in new if not w.isalpha()], together)):
+            for k in range(0, len(words), run):
+                seen.update(zip(words[k : k + run], way(words[k : k + run]), strict=True))
+        for w, word in ends.items():
+            seen[w] = seen[word] + stops[w[-1]]
+
+    def encode(texts: list[str]) -> list[bytes]:
         if len(seen) > keep:
             seen.clear()
         split = [x.replace("\n", " ").split(" ") for x in texts]
-        new = list({w for words in split for w in words if w not in seen})
-        found = dict(zip(new, (x.ids for x in tokenizer.encode_batch_fast(new, add_special_tokens=False)), strict=True))
-        seen.update((w, ids) for w, ids in found.items() if len(w) <= longest)
-        return [list(chain.from_iterable([seen[w] if w in seen else found[w] for w in words])) for words in split]
+        new = list(set().union(*split).difference(seen))
+        learn(new)
+        out = [b"".join(map(seen.__getitem__, words)) for words in split]
+        for w in new:
+            if len(w) > longest:
+                del seen[w]
+        return out
 
     return encode
 
@@ -63,14 +123,15 @@ def pieces(docs: DataFrame, tokenizer: str, size: int = 2048, end_id: int = 0, b
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
+        end = np.array([end_id], "<u4").tobytes()
         encode = word_encoder(Tokenizer.from_file(tokenizer)) if by_words else whole_encoder(Tokenizer.from_file(tokenizer))
         for batch in batches:
             keys, texts = batch.column(0).to_pylist(), [x or "" for x in batch.column(1).to_pylist()]
             for k in range(0, len(texts), 64):
                 out: list[tuple] = []
                 for key, found in zip(keys[k : k + 64], encode(texts[k : k + 64]), strict=True):
-                    ids = np.array([*found, end_id], "<u4")
-                    out += [(key, n, at, min(size, len(ids) - at), ids[at : at + size].tobytes()) for n, at in enumerate(range(0, len(ids), size))]
+                    ids = found + end
+                    out += [(key, n, at, min(size, len(ids) // 4 - at), ids[4 * at : 4 * (at + size)]) for n, at in enumerate(range(0, len(ids) // 4, size))]
                 kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary())
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)], ["doc_id", "piece", "start", "length", "ids"])
 
