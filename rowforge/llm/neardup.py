@@ -105,24 +105,34 @@ def _digest(words: list[bytes]) -> bytes:
     return hashlib.md5(b" ".join(words)).digest()
 
 
+def _lists(rows: list[np.ndarray]) -> pa.ListArray:
+    """A list column of these rows."""
+    ends = np.cumsum([0, *(len(r) for r in rows)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.zeros(0, np.int64), *rows])))
+
+
 def _sketch(batches):
-    shingle, known = Shingler(), {}
+    shingle, known, none = Shingler(), {}, np.zeros(0, np.int64)
     for batch in batches:
-        rows = []
-        for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-            words = words_of(text.as_py())
-            key = _digest(words)
-            if key not in known:
-                found = shingle(words)
-                best = minima(found)
-                bands = _mix(best.reshape(BANDS, ROWS) @ _BAND + np.arange(BANDS, dtype=np.uint64))
-                if len(known) >= 2048:
-                    known.clear()
-                known[key] = len(found), bands.view(np.int64).tolist() if len(found) else [], odd_sketch(best).view(np.int64).tolist()
-            rows.append((doc_id, key, *known[key]))
-        columns = list(zip(*rows, strict=True)) if rows else [[]] * 5
-        kinds = (pa.int64(), pa.binary(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()))
-        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["doc_id", "key", "n_shingles", "bands", "odd"])
+        for k in range(0, batch.num_rows, 1024):
+            part, keys, sizes, bands, odd = batch.slice(k, 1024), [], [], [], []
+            for text in part.column(1):
+                words = words_of(text.as_py())
+                key = _digest(words)
+                if key not in known:
+                    found = shingle(words)
+                    best = minima(found)
+                    own = _mix(best.reshape(BANDS, ROWS) @ _BAND + np.arange(BANDS, dtype=np.uint64)).view(np.int64)
+                    if len(known) >= 2048:
+                        known.clear()
+                    known[key] = len(found), own if len(found) else none, odd_sketch(best).view(np.int64)
+                n, own, sketch = known[key]
+                keys.append(key)
+                sizes.append(n)
+                bands.append(own)
+                odd.append(sketch)
+            columns = [part.column(0), pa.array(keys, pa.binary()), pa.array(sizes, pa.int64()), _lists(bands), _lists(odd)]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "key", "n_shingles", "bands", "odd"])
 
 
 def _with_digests(batches):

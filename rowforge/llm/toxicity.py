@@ -20,7 +20,6 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -183,8 +182,10 @@ def _features(sample: DataFrame, chars: CharModel) -> DataFrame:
     def read(batches):
         reader = Reader(chars)
         for batch in batches:
-            found = [sorted(reader.features(text)) for text in batch.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array(found, pa.list_(pa.string())), batch.column(1)], ["features", "toxic"])
+            for k in range(0, batch.num_rows, 256):
+                part = batch.slice(k, 256)
+                found = [sorted(reader.features(text.as_py())) for text in part.column(0)]
+                yield pa.RecordBatch.from_arrays([pa.array(found, pa.list_(pa.string())), part.column(1)], ["features", "toxic"])
 
     kind = sample.schema["toxic"].dataType.simpleString()
     return written(sample.select("text", "toxic").mapInArrow(read, f"features array<string>, toxic {kind}"), "toxic-features")
@@ -241,11 +242,12 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = 20_000) -> Toxicit
 
 def score(docs: DataFrame, model: ToxicityModel) -> DataFrame:
     """``docs`` with toxic_score (0 to 1) and toxic_pred (1 from 0.5 on), every whole text read."""
-    # as bytes that hold the classes too: a broadcast object would ask the workers for this package
-    sent = docs.sparkSession.sparkContext.broadcast(cloudpickle.dumps(model))
+    # plain values: a broadcast object would ask the workers for this package
+    sent = docs.sparkSession.sparkContext.broadcast((model.chars.tri, model.chars.bi, model.lexicon, model.base))
 
     def scores(batches):
-        m = cloudpickle.loads(sent.value)
+        tri, bi, lexicon, base = sent.value
+        m = ToxicityModel(CharModel(tri, bi), lexicon, base)
         reader = Reader(m.chars, m.lexicon)
         for batch in batches:
             out = [m.score(reader.features(x)) for x in batch.column(batch.schema.get_field_index("text")).to_pylist()]
