@@ -9,8 +9,8 @@ clearly below the threshold, and shingle sets decide.
 
 Groups are not paired out. The classes of a bucket meet ``HEADS`` of them, the same
 ones wherever possible in all buckets of a group. First each class
-confirms the partner whose sketch is nearest, and once more the nearest that is still in another component; then
-all pairs still apart are confirmed. A bucket is done once its classes lie in one component, as most of a group then does.
+confirms the partner whose sketch is nearest, then, if many pairs are still apart, the nearest in another
+component; then all that are apart. A bucket is done once its classes lie in one component, as most of a group then does.
 Classes of one bucket that are still in different components are compared with each other, by finer sketches. A pair at the threshold shares no band with probability 4e-6; the first sketches
 drop such a pair with about 2e-6 (4 of 2,000,000 simulated), the finer ones with less: their slack is five standard deviations.
 
@@ -32,7 +32,7 @@ from rowforge.llm.shared import discard, written
 
 ROWS, BANDS, WORDS, BITS, SLACK = 6, 64, 5, 1024, 0.14
 FINE, FINE_BITS, FINE_SLACK = 4096, 16384, 0.04
-HEADS, RUN, SENT = 4, 1000, 1 << 20
+HEADS, RUN, MANY, SENT = 4, 1000, 4, 1 << 20
 SKETCH = "doc_id long, key binary, n_shingles long, bands array<long>, odd array<long>"
 
 
@@ -50,7 +50,7 @@ def words_of(text: bytes | None) -> list[bytes]:
 class Shingler:
     """Sorted distinct 64-bit shingle hashes of a sequence of words; word hashes are remembered."""
 
-    def __init__(self, keep: int = 300_000):
+    def __init__(self, keep: int = 150_000):
         import xxhash
 
         self.hash, self.keep, self.seen = xxhash.xxh3_64_intdigest, keep, {}
@@ -144,8 +144,10 @@ def _with_digests(batches):
 def _fine_sketch(batches):
     shingle = Shingler()
     for batch in batches:
-        found = [odd_sketch(minima(shingle(words_of(t.as_py())), FINE), FINE_BITS).view(np.int64).tolist() for t in batch.column(1)]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.int64()))], ["cls", "odd"])
+        for k in range(0, batch.num_rows, 512):
+            part = batch.slice(k, 512)
+            found = [odd_sketch(minima(shingle(words_of(t.as_py())), FINE), FINE_BITS).view(np.int64) for t in part.column(1)]
+            yield pa.RecordBatch.from_arrays([part.column(0), _lists(found)], ["cls", "odd"])
 
 
 def _confirm(threshold: float):
@@ -246,17 +248,18 @@ class _Linker:
             self.roots = components(self.links)
 
     def link(self, pairs: DataFrame) -> None:
-        """Decide all close pairs: twice the nearest partner of each class, then what is still apart."""
-        left = written(self.close(pairs), "pairs")
+        """Decide all close pairs: the nearest partner of each class, once more if many are left, then what is still apart."""
+        left, many = written(self.close(pairs), "pairs"), 0
         for _ in range(2):
-            if left.isEmpty():
-                return
+            if (size := left.count()) <= many or not size:
+                break
             both = left.select(F.col("a").alias("node"), "bits", F.col("b").alias("other")).union(left.select("b", "bits", "a"))
             best = both.groupBy("node").agg(F.min(F.struct("bits", "other")).alias("best"))
             nearest = best.select(F.least("node", "best.other").alias("a"), F.greatest("node", "best.other").alias("b")).distinct()
             nearest = written(nearest, "nearest")
             self.add(nearest)
             after = written(self.apart(left.join(nearest, ["a", "b"], "left_anti")), "pairs")
+            many = MANY * nearest.count()
             discard(left)
             discard(nearest)
             left = after

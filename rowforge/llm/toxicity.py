@@ -138,7 +138,7 @@ def word_features(word: str) -> tuple[str, ...]:
 class Reader:
     """Distinct features of restored texts, remembering the tokens it has read."""
 
-    def __init__(self, model: CharModel, only: dict | None = None, keep: int = 200_000):
+    def __init__(self, model: CharModel, only: dict | None = None, keep: int = 120_000):
         self.model, self.only, self.keep, self.seen = model, only, keep, {}
 
     def token(self, token: str) -> tuple[str, ...]:
@@ -197,7 +197,7 @@ def _feature_counts(read: DataFrame, strong: dict[str, float]) -> DataFrame:
     def counts(batches):
         n, t = Counter(), Counter()
         for batch in batches:
-            for found, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            for found, toxic in ((f.as_py(), t.as_py()) for f, t in zip(batch.column(0), batch.column(1), strict=True)):
                 if strong.keys().isdisjoint(found):
                     n[""] += 1
                     t[""] += toxic
