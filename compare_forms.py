@@ -38,15 +38,12 @@ def scd2(t):
     one = increment.withColumn("n", F.row_number().over(newest)).where("n = 1")
     one = one.select("custkey", "status", "priority")
 
-    def digest(*cols):
-        return F.sha1(F.concat_ws("salt", *cols))
-
     open_rows = mart.where("is_active")
-    cols = ["custkey", "status", "priority"]
-    old = open_rows.select(F.col("custkey").alias("old_key"), digest(*cols).alias("old_sha"))
-    new = one.withColumn("new_sha", digest(*cols))
-    pairs = old.join(new, F.col("old_key") == F.col("custkey"), "full")
-    changed = pairs.where("custkey IS NOT NULL AND NOT (old_sha <=> new_sha)").select(*cols)
+    version = F.struct("status", "priority")
+    old = open_rows.select(F.col("custkey").alias("old_key"), version.alias("old_version"))
+    pairs = old.join(one.withColumn("new_version", version), F.col("old_key") == F.col("custkey"), "full")
+    differs = "custkey IS NOT NULL AND NOT (old_version <=> new_version)"
+    changed = pairs.where(differs).select("custkey", "status", "priority")
     now = F.lit(FLAG_AS_OF).cast("timestamp_ntz")
     closed = open_rows.join(changed, "custkey", "left_semi").withColumns(
         {"effective_to_dt": now, "is_active": F.lit(False)}
