@@ -150,7 +150,7 @@ PAIRS = {
     )
 }
 # Compared with broadcast joins off, as the joins at stake are between large sides.
-SHUFFLED = ("skewed_join", "skewed_join_hot_only", "band_average")
+SHUFFLED = ("skewed_join", "skewed_join_hot_only")
 
 
 def same(a: DataFrame, b: DataFrame) -> bool:
