@@ -15,6 +15,7 @@ the result is empty. Columns other than the id and the text are not read.
 from __future__ import annotations
 
 from collections import Counter
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -45,7 +46,7 @@ def word_encoder(tokenizer, keep: int = 600_000, longest: int = 64, mark: str =
     closing mark are a word of their own, if samples show that the tokenizer parts them, too. Words of letters need no
     such sign where the tokenizer itself marks the ends of words.
     """
-    seen: dict[str, bytes] = {}
+    seen: dict[str, bytes] = {"": b""}
     sign = tokenizer.encode(mark, add_special_tokens=False).ids
     between = f" {mark} "
 
@@ -87,9 +88,12 @@ def word_encoder(tokenizer, keep: int = 600_000, longest: int = 64, mark: str =
 
     def learn(new: list[str]) -> None:
         ends = {w: w[:-1] for w in new if w[-1:] in stops and w[:-1].isalpha()}
-        new = list({*new, *ends.values()}.difference(ends).difference(seen))
-        letters = [w for w in new if w.isalpha()]
-        for words, way in ((letters, lettered), ([w for w in new if not w.isalpha()], together)):
+        letters = set(ends.values()).difference(seen)
+        others = []
+        for w in new:
+            if w not in ends:
+                letters.add(w) if w.isalpha() else others.append(w)
+        for words, way in ((list(letters), lettered), (others, together)):
             for k in range(0, len(words), run):
                 seen.update(zip(words[k : k + run], way(words[k : k + run]), strict=True))
         for w, word in ends.items():
@@ -98,10 +102,11 @@ def word_encoder(tokenizer, keep: int = 600_000, longest: int = 64, mark: str =
     def encode(texts: list[str]) -> list[bytes]:
         if len(seen) > keep:
             seen.clear()
+            seen[""] = b""
         split = [x.replace("\n", " ").split(" ") for x in texts]
         new = list(set().union(*split).difference(seen))
         learn(new)
-        out = [b"".join(map(seen.__getitem__, words)) for words in split]
+        out = [b"".join(itemgetter(*words, "")(seen)) for words in split]
         for w in new:
             if len(w) > longest:
                 del seen[w]
