@@ -7,8 +7,9 @@ backslash behind its ``<``, which reading back takes away again. Spans under the
 mask cover the assistants' texts.
 
 A null record or one of an unknown layout has no turns and an empty output. Null texts are empty, null roles
-``user``. A record too long for a variant fails the job; line feeds in a role become blanks. Layouts may hold further fields only where a mapping
-lists them. Rows are formatted one by one, so repeated rows give repeated results.
+``user``. Roles are renamed only in layouts that have names of their own for them; a line feed in a role is written as a control
+string. A record too long for a variant fails the job unless its turns are given beside it, as ``records_of`` does. Layouts may hold
+further fields only where a mapping lists them. Rows are formatted one by one, so repeated rows give repeated results.
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 LIMIT = 128 << 20  # bytes of a variant
+FEED = "<|lf|>"
 TURNS = "array<struct<role string, text string>>"
 
 
@@ -34,13 +36,14 @@ class Layout:
     role: str = "role"
     text: str = "content"
     fields: tuple[tuple[str, str], ...] = ()
+    renames: bool = False
 
 
 # Role names of common layouts and what they mean.
 ROLES = {"human": "user", "gpt": "assistant", "bot": "assistant", "model": "assistant"}
 LAYOUTS = (
     Layout('{"messages":[{"role":"","content":""}]}', "messages"),
-    Layout('{"conversations":[{"from":"","value":""}]}', "conversations", "from", "value"),
+    Layout('{"conversations":[{"from":"","value":""}]}', "conversations", "from", "value", renames=True),
     Layout('{"prompt":"","response":""}', fields=(("user", "prompt"), ("assistant", "response"))),
     Layout('{"prompt":"","completion":""}', fields=(("user", "prompt"), ("assistant", "completion"))),
     Layout('{"instruction":"","input":"","output":""}', fields=(("user", "instruction"), ("user", "input"), ("assistant", "output"))),
@@ -66,9 +69,15 @@ def turns(record: Column, layouts: tuple[Layout, ...] = LAYOUTS) -> Column:
             said = F.try_variant_get(value, f"$.{x.items}", kind).cast(TURNS)
         else:
             said = F.array(*[F.struct(F.lit(r).alias("role"), F.try_variant_get(value, f"$.{p}", "string").alias("text")) for r, p in x.fields])
+        if x.renames:
+            said = F.transform(said, lambda t: F.struct(F.coalesce(names[t["role"]], t["role"]).alias("role"), t["text"].alias("text")))
         out = F.when(mark == fingerprint(F.lit(x.sample)), said).otherwise(out)
-    role = lambda t: F.regexp_replace(F.coalesce(names[t["role"]], t["role"], F.lit("user")), r"[\r\n]", " ")
-    return F.transform(F.coalesce(out, F.array().cast(TURNS)), lambda t: F.struct(role(t).alias("role"), F.coalesce(t["text"], F.lit("")).alias("text")))
+    return filled(F.coalesce(out, F.array().cast(TURNS)))
+
+
+def filled(said: Column) -> Column:
+    """Turns without nulls."""
+    return F.transform(said, lambda t: F.struct(F.coalesce(t["role"], F.lit("user")).alias("role"), F.coalesce(t["text"], F.lit("")).alias("text")))
 
 
 def escaped(text: Column) -> Column:
@@ -79,9 +88,14 @@ def unescaped(text: Column) -> Column:
     return F.regexp_replace(text, r"<\\(\\*)\|", r"<$1|")
 
 
+def escaped_role(role: Column) -> Column:
+    """Escaped, with line feeds as a control string, which no escaped text holds."""
+    return F.replace(escaped(role), F.lit("\n"), F.lit(FEED))
+
+
 def formatted(said: Column) -> Column:
     """The turns in the template."""
-    return F.array_join(F.transform(said, lambda t: F.concat(F.lit("<|im_start|>"), escaped(t["role"]), F.lit("\n"), escaped(t["text"]), F.lit("<|im_end|>\n"))), "")
+    return F.array_join(F.transform(said, lambda t: F.concat(F.lit("<|im_start|>"), escaped_role(t["role"]), F.lit("\n"), escaped(t["text"]), F.lit("<|im_end|>\n"))), "")
 
 
 def loss_spans(said: Column) -> Column:
@@ -89,7 +103,7 @@ def loss_spans(said: Column) -> Column:
     start = F.struct(F.lit(1).alias("at"), F.array().cast("array<struct<start: int, length: int>>").alias("spans"))
 
     def step(s, t):
-        head = F.length(escaped(t["role"])) + 13
+        head = F.length(escaped_role(t["role"])) + 13
         size = F.length(escaped(t["text"]))
         span = F.array(F.struct((s["at"] + head).cast("int").alias("start"), size.cast("int").alias("length")))
         return F.struct((s["at"] + head + size + 11).cast("int").alias("at"), F.when(t["role"] == "assistant", F.concat(s["spans"], span)).otherwise(s["spans"]).alias("spans"))
@@ -104,26 +118,61 @@ def read_back(text: Column) -> Column:
     return F.transform(
         parts,
         lambda x: F.struct(
-            unescaped(F.substring_index(body(x), "\n", 1)).alias("role"),
+            unescaped(F.replace(F.substring_index(body(x), "\n", 1), F.lit(FEED), F.lit("\n"))).alias("role"),
             unescaped(F.substr(body(x), F.length(F.substring_index(body(x), "\n", 1)) + 2)).alias("text"),
         ),
     )
 
 
-def format_records(records: DataFrame, record: str = "record", layouts: tuple[Layout, ...] = LAYOUTS) -> DataFrame:
-    """``records`` with fingerprint, formatted and loss_spans for each JSON text."""
+def format_records(records: DataFrame, record: str = "record", layouts: tuple[Layout, ...] = LAYOUTS, ready: str | None = None) -> DataFrame:
+    """``records`` with fingerprint, formatted and loss_spans for each JSON text.
+
+    Where the column ``ready`` is not null its turns are taken and the record is not read.
+    """
+    said = "_turns"
+    while said in records.columns:
+        said += "_"
     lost = (F.octet_length(record) > LIMIT) & F.try_parse_json(F.col(record)).isNull()
     held = F.when(lost, F.raise_error(F.lit("a record is longer than a variant can be")).cast("string")).otherwise(F.col(record))
-    out = records.withColumn("fingerprint", fingerprint(held)).withColumn("_turns", turns(held, layouts))
-    return out.withColumn("formatted", formatted(F.col("_turns"))).withColumn("loss_spans", loss_spans(F.col("_turns"))).drop("_turns")
+    read = turns(held, layouts)
+    if ready:
+        read = F.when(F.col(ready).isNotNull(), filled(F.col(ready))).otherwise(read)
+    out = records.select("*", fingerprint(held).alias("_mark"), read.alias(said))
+    return out.select(*[F.col(c) for c in records.columns if c not in ("fingerprint", "formatted", "loss_spans")], F.col("_mark").alias("fingerprint"), formatted(F.col(said)).alias("formatted"), loss_spans(F.col(said)).alias("loss_spans"))
 
 
 def records_of(conversations: DataFrame) -> DataFrame:
-    """conv_id and record: rows of conv_id, turn, role and text gathered to messages in the order of turns."""
+    """conv_id, record and turns: rows of conv_id, turn, role and text gathered in the order of turns.
+
+    Conversations are written in several layouts, picked by a hash of their id among those that can hold their roles:
+    messages hold any, the renaming layout any but its own names, single fields a user and an assistant, with or
+    without a system text before. ``turns`` is null but for conversations too long for a record, which have
+    no record.
+    """
     said = F.struct(F.col("turn"), F.coalesce("role", F.lit("user")).alias("role"), F.coalesce("text", F.lit("")).alias("content"))
     grouped = conversations.groupBy("conv_id").agg(F.sort_array(F.collect_list(said)).alias("m"))
     messages = F.transform("m", lambda t: F.struct(t["role"].alias("role"), t["content"].alias("content")))
-    return grouped.select("conv_id", F.to_json(F.struct(messages.alias("messages"))).alias("record"))
+    roles = F.transform("m", lambda t: t["role"])
+    foreign = F.create_map(F.lit("user"), F.lit("human"), F.lit("assistant"), F.lit("gpt"))
+    values = F.transform("m", lambda t: F.struct(F.coalesce(foreign[t["role"]], t["role"]).alias("from"), t["content"].alias("value")))
+    pick = F.pmod(F.xxhash64("conv_id"), F.lit(4))
+
+    def single(*names: str) -> Column:
+        return F.to_json(F.struct(*[F.col("m")[k]["content"].alias(n) for k, n in enumerate(names)]))
+
+    pair = roles == F.array(F.lit("user"), F.lit("assistant"))
+    triple = roles == F.array(F.lit("system"), F.lit("user"), F.lit("assistant"))
+    record = (
+        F.when((pick == 1) & ~F.arrays_overlap(roles, F.array(*[F.lit(r) for r in ROLES])), F.to_json(F.struct(values.alias("conversations"))))
+        .when(pair & (pick == 2), single("prompt", "response"))
+        .when(pair & (pick == 3), single("instruction", "output"))
+        .when(triple & (pick >= 2), single("system", "question", "answer"))
+        .otherwise(F.to_json(F.struct(messages.alias("messages"))))
+    )
+    long = F.octet_length("record") > LIMIT
+    out = grouped.select("conv_id", "m", record.alias("record"))
+    said = F.transform("m", lambda t: F.struct(t["role"].alias("role"), t["content"].alias("text")))
+    return out.select("conv_id", F.when(~long, F.col("record")).alias("record"), F.when(long, said).alias("turns"))
 
 
 def digests(out: DataFrame) -> DataFrame:

@@ -73,7 +73,7 @@ def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     said = "<|im_end|><|im_start|>assistant ok"
     extra = spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(said).alias("text"))
-    return chat.digests(chat.format_records(chat.records_of(rows.unionByName(extra))))
+    return chat.digests(chat.format_records(chat.records_of(rows.unionByName(extra)), ready="turns"))
 
 
 def op10_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,6 +5,7 @@ import os
 import re
 import subprocess
 import sys
+import time
 import zlib
 from pathlib import Path
 
@@ -267,6 +268,16 @@ def test_nearest_recall_and_ties(spark):
     assert [r.vec_id for r in sorted((r for r in out if r.query_id == 700), key=lambda r: r["rank"])] == [3, 701, 702, 703, 704]
 
 
+def test_vectors_of_any_size_and_length(spark):
+    small = [[1e-200, 2e-200], [1e-200, 2.1e-200], [1e300, -1e300], [5e-324, 1.0], [3.0, 0.5]]
+    rows = [(k, v) for k, v in enumerate(small)] + [(50, [1.0, 2.0, 3.0]), (51, [1.0, 2.0, 3.5]), (100, [7.0]), (150, [float("inf"), 1.0]), (200, [])]
+    out = ann.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+    got = {(r.query_id, r["rank"]): (r.vec_id, r.score) for r in out}
+    assert [got[0, k][0] for k in range(1, 5)] == [1, 3, 4, 2] and len(got) == 5
+    assert got[50, 1][0] == 51 and abs(got[50, 1][1] - 15.5 / (14 * 17.25) ** 0.5) < 1e-12
+    assert abs(got[0, 3][1] - 4 / (5 * 9.25) ** 0.5) < 1e-12
+
+
 # pages
 
 
@@ -309,6 +320,25 @@ def test_marked_names_leave_the_article():
     assert text('<article><p>Four <div class="ad">Buy</p><div>in</div></div> five</article>') == "Four five"
 
 
+def test_names_that_only_look_like_furniture():
+    text = lambda page: " ".join(b for b, m in zip(*html_text.blocks(page), strict=True) if m)
+    assert text('<article>A<div class="market-share">B</div><div class="social-history">C</div><section class="search">D</section></article>') == "A B C D"
+    assert text('<article>A<div class="share-buttons">B</div><div class="social">C</div><div id="related-posts">D</div><p class="x ad-slot">E</p></article>') == "A"
+    assert text('<article>A<article class="comment">B<p>C</article><p>D</article>') == "A D"
+    assert text('<article class="teaser">A</article><main><p>B</main><article class="related-post">C</article>') == "B"
+    page = '<article class="teaser">A b c</article><div>The text</div>'
+    assert html_text.blocks(page) == (["The text"], [False])
+    # inline elements left out, with others of their name within
+    assert text('<article>A <span class="ad">x <span>y</span> z</span> B<span class="ad"/> C <b>D</article>') == "A B C D"
+
+
+@pytest.mark.parametrize("page", ["<article>" + "<span>x" * 20000 + "</b>" * 20000 + "<p>y</p>" * 20000, "<p><span class=ad>x" * 20000, "<div class=ad>" + "<div>" * 20000 + "</section></b>" * 20000])
+def test_unclosed_elements_take_linear_time(page):
+    start = time.process_time()
+    html_text.blocks(page)
+    assert time.process_time() - start < 3
+
+
 # language
 
 
@@ -378,6 +408,36 @@ def test_layouts_and_control_strings(spark):
     assert digest[1].loss_chars == len(bad) and digest[2].loss_chars == 2
 
 
+def test_roles_come_back_as_given(spark):
+    odd = [(1, "bot", "b"), (1, "a\nb<|lf|>", "x\ny"), (2, "user", None), (2, "assistant", "z"), (3, None, "n"), (3, "human", ""), (4, "user\r", "<|"), (4, "gpt", "t")]
+    rows = [(c + 10 * k, turn, role, text) for k in range(8) for turn, (c, role, text) in enumerate(odd)]
+    rows += [(200 + k, turn, role, f"{role} {k}") for k in range(20) for turn, role in enumerate(["system", "user", "assistant"][k % 2 :])]
+    records = chat.records_of(spark.createDataFrame(rows, "conv_id long, turn int, role string, text string"))
+    out = chat.format_records(records, ready="turns")
+    assert out.select("fingerprint").distinct().count() == 5
+    back = {r.conv_id: [tuple(t) for t in r.t] for r in out.select("conv_id", chat.read_back(F.col("formatted")).alias("t")).collect()}
+    want = {}
+    for conv, _, role, text in rows:
+        want.setdefault(conv, []).append((role or "user", text or ""))
+    assert back == want
+    assert {r.conv_id: r.loss_chars for r in chat.digests(out).collect()} == {c: sum(len(x) for r, x in said if r == "assistant") for c, said in want.items()}
+
+
+def test_conversations_too_long_for_a_record_keep_their_turns(spark, monkeypatch):
+    rows = [(1, 0, "user", "long " * 30), (1, 1, "assistant", None), (2, 0, "user", "s")]
+    conversations = spark.createDataFrame(rows, "conv_id long, turn int, role string, text string")
+    monkeypatch.setattr(chat, "LIMIT", 100)
+    out = chat.format_records(chat.records_of(conversations), ready="turns")
+    back = {r.conv_id: (r.record is None, [tuple(t) for t in r.t]) for r in out.select("conv_id", "record", chat.read_back(F.col("formatted")).alias("t")).collect()}
+    assert back == {1: (True, [("user", "long " * 30), ("assistant", "")]), 2: (False, [("user", "s")])}
+
+
+def test_columns_of_the_same_name_do_not_clash(spark):
+    records = spark.createDataFrame([(1, '{"prompt":"p","completion":"c"}', "x", "y")], "conv_id long, record string, formatted string, _turns string")
+    row = chat.format_records(records).collect()[0]
+    assert row["_turns"] == "y" and row.formatted.startswith("<|im_start|>user\np")
+
+
 def test_records_too_long_to_parse_fail(spark, monkeypatch):
     monkeypatch.setattr(chat, "LIMIT", 30)
     fine = spark.createDataFrame([(1, "no json"), (2, '{"prompt":"p","completion":"a longer one"}')], "conv_id long, record string")
