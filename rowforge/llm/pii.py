@@ -1,13 +1,17 @@
 """Format-preserving pseudonyms for personal data, in DataFrame expressions only.
 
-Numbers and dates that pass validation (card numbers by their check digit, telephone numbers, social security
+Numbers and dates that pass validation (card numbers by their check digit, telephone numbers by their grouping, social security
 numbers, IPv4 addresses, calendar dates, e-mail addresses) go through a keyed Feistel
 permutation of their own domain: the result has the same format and passes the same
 validation, and equal values become equal pseudonyms in every document. Separators
 stay, so one number written in two formats keeps the link.
 
 Null texts stay null, empty ones empty, and text without such values is unchanged. Every row is handled by
-itself, repeated rows alike; all other columns are kept.
+itself, repeated rows alike; all other columns are kept, but n_candidates is replaced.
+
+Formats covered are the patterns below: telephone numbers of ten digits in groups of 3-3-4, with or without a country code
+(known by that shape, as they have no check digit), dates as year-month-day or day first with points or slashes.
+Other spellings, such as dates with the month first or ten digits in one run, stay as they are.
 """
 
 from __future__ import annotations
@@ -190,10 +194,12 @@ def pseudonym(found: Column, key: str) -> Column:
 def pseudonymise(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
     """``docs`` with personal data in ``text`` replaced, plus n_candidates."""
     held = F.col(text).rlike("[0-9@]")
-    found = F.when(held, F.regexp_extract_all(F.col(text), F.lit(ANY), F.lit(0)))
-    out = docs.withColumn("_found", found)
+    found = "_found"
+    while found in docs.columns:
+        found += "_"
+    out = docs.withColumn(found, F.when(held, F.regexp_extract_all(F.col(text), F.lit(ANY), F.lit(0))))
     parts = F.split(F.col(text), ANY, -1)
-    new = F.transform("_found", lambda m: pseudonym(m, key))
+    new = F.transform(found, lambda m: pseudonym(m, key))
     clean = F.array_join(F.zip_with(parts, new, lambda p, m: F.concat(p, F.coalesce(m, F.lit("")))), "")
-    out = out.withColumn("n_candidates", F.coalesce(F.size("_found"), F.lit(0)))
-    return out.withColumn(text, F.when(F.size("_found") > 0, clean).otherwise(F.col(text))).drop("_found")
+    out = out.withColumn("n_candidates", F.coalesce(F.size(found), F.lit(0)))
+    return out.withColumn(text, F.when(F.size(found) > 0, clean).otherwise(F.col(text))).drop(found)

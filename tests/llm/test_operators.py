@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import datetime as dt
+import hashlib
 import itertools
 import os
 import re
@@ -187,6 +189,49 @@ def test_pipeline_removes_wide_lines_beyond_half(spark):
     assert {r.text for r in corpus_pipeline.drop_boilerplate_lines(spark, docs, "").collect()} == {f"own {k}" for k in range(9)}
 
 
+def test_whole_pipeline_against_brute_force(spark, tmp_path):
+    import corpus_pipeline
+    from rowforge.llm.queries import tokenizer_path
+    from tokenizers import Tokenizer
+
+    footer = " ".join(prose(4242, 12))
+    items = [prose(900 + k, 24) for k in range(4)]
+    texts, toxic = [], set()
+    for k in range(300):
+        words = prose(k, 60)
+        if k % 5 == 1:
+            words[7] = "gravolix"
+            toxic.add(k)
+        texts.append(" ".join(words))
+    clean = [k for k in range(300) if k not in toxic]
+    for k in clean[:20]:
+        texts[k] += "\n" + footer
+    leaks = {k: items[n] for n, k in enumerate(clean[30:34])}
+    for k, item in leaks.items():
+        texts[k] = " ".join([texts[k], *item, *prose(5000 + k, 60)])
+    copies = [texts[k].upper() if n % 2 else texts[k] + " end" for n, k in enumerate(clean[50:60])]
+    texts += [*copies, None, ""]
+    docs = documents(spark, texts).withColumn("source", F.concat(F.lit("s"), F.col("doc_id"))).drop("key")
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    labels = [(k, 3, int(k in toxic)) for k in range(300)]
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    spark.createDataFrame([(k, " ".join(w)) for k, w in enumerate(items)], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+
+    left = {k: t and t.removesuffix("\n" + footer) for k, t in enumerate(texts) if k not in toxic}
+    ids = list(left)
+    firsts = [ids[k] for k, _, _, kept in brute_components([left[k] for k in ids]) if kept]
+    encoder = Tokenizer.from_file(tokenizer_path())
+    want = {k: len(encoder.encode(left[k] or "", add_special_tokens=False).ids) + 1 for k in firsts if k not in leaks}
+    got = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert {r.doc_id: r.length for r in got} == want and len(got) == len(want)
+    for _, rows in itertools.groupby(sorted(got, key=lambda r: (r.sequence_id, r.offset)), key=lambda r: r.sequence_id):
+        at = 0
+        for r in rows:
+            assert r.offset == at
+            at += r.length
+        assert at <= 2048
+
+
 # decontamination
 
 
@@ -464,6 +509,51 @@ def test_pseudonyms_keep_format_and_links(spark, kind):
         assert (sum(d[::2]) + sum(x * 2 % 10 + x // 5 for x in d[1::2])) % 10 == 0
 
 
+def plain_feistel(left, right, sizes, key, kind):
+    for k in range(8):
+        def noise(other, size):
+            mark = f"{key}:{kind}:{k}:{sizes[0]}:{sizes[1]}:{other}"
+            return int(hashlib.sha256(mark.encode()).hexdigest()[:14], 16) % size  # noqa: B023
+
+        if k % 2 == 0:
+            left = (left + noise(right, sizes[0])) % sizes[0]
+        else:
+            right = (right + noise(left, sizes[1])) % sizes[1]
+    return left, right
+
+
+def plain_pseudonym(kind, found, key):
+    number = re.sub(r"\D", "", found)
+    if kind == "phone":
+        new = iter(number[:-10] + "%05d%05d" % plain_feistel(int(number[-10:-5]), int(number[-5:]), (10**5, 10**5), key, kind))
+        return re.sub(r"\d", lambda _: next(new), found)
+    if kind == "social":
+        group, serial = plain_feistel(int(found[4:6]) - 1, int(found[7:]) - 1, (99, 9999), key, kind)
+        return f"{found[:3]}-{group + 1:02d}-{serial + 1:04d}"
+    if kind == "address":
+        a, b, c, d = map(int, found.split("."))
+        one, two = plain_feistel(a * 256 + b, c * 256 + d, (65536, 65536), key, kind)
+        return f"{one // 256}.{one % 256}.{two // 256}.{two % 256}"
+    day = dt.date.fromisoformat(found) if found[4] == "-" else dt.date(int(found[6:]), int(found[3:5]), int(found[:2]))
+    place = (day - dt.date(1900, 1, 1)).days
+    one, two = plain_feistel(place // 229, place % 229, (319, 229), key, kind)
+    new = dt.date(1900, 1, 1) + dt.timedelta(one * 229 + two)
+    return new.isoformat() if found[4] == "-" else new.strftime(f"%d{found[2]}%m{found[5]}%Y")
+
+
+def test_every_kind_equals_a_plain_feistel_network(spark):
+    given = [
+        ("phone", "415 555 2671"), ("phone", "(415) 555-2671"), ("phone", "+44 415-555-2671"), ("social", "123-45-6789"), ("social", "899-01-0001"),
+        ("address", "10.20.30.40"), ("address", "255.255.255.255"), ("address", "0.0.0.0"), ("date", "2021-03-04"), ("date", "04/03/2021"), ("date", "04.03.2021"), ("date", "1900-01-01"), ("date", "2099-12-31"),
+    ]
+    kept = ["2021-02-30", "31.02.2021", "256.1.1.1", "000-12-3456", "4111 1111 1111 1112", None, ""]
+    docs = documents(spark, [f"x {v} y" for _, v in given] + kept).withColumn("_found", F.lit("mine"))
+    out = {r.doc_id: r for r in pii.pseudonymise(docs, "k").collect()}
+    assert [out[k].text for k in range(len(given))] == [f"x {plain_pseudonym(kind, v, 'k')} y" for kind, v in given]
+    assert [out[len(given) + k].text for k in range(len(kept))] == kept
+    assert {r["_found"] for r in out.values()} == {"mine"} and out[0].n_candidates == 1
+
+
 def test_cards_beside_other_numbers_keep_their_link(spark):
     shapes = ["{}", "{} 123", "{} 12/27", "7 {}", "12 {} 123", "1234 {}", "{} {}", "{} 2024-05-01", "{} 555-123-4567", "{} 1234567@x.example"]
     texts = [x.replace("{}", c) for x in shapes for c in ("4111111111111111", "4111 1111 1111 1111")] + ["41111111 11111111 123", "3782 822463 10005 1234", "1 2 3 4 5 6"]
