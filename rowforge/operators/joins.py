@@ -122,6 +122,9 @@ def salted_join(
     order, so a task rerun after a lost executor salts alike; rows of one
     partition are spread, and exact copies over partitions. Both sides consult the
     same hot keys, so ``left`` must give the same rows each time it is read.
+
+    The repeated rows are shuffled whatever their size: Spark's estimate does not count
+    the repeats, so that it would gather ``salts`` times a broadcast's limit in the driver.
     """
     if how not in _ONE_SIDED:
         raise ValueError(f"how must be one of {_ONE_SIDED}: repeated right rows must not surface")
@@ -150,7 +153,7 @@ def salted_join(
             SALT, F.explode(F.when(F.col(HOT), every_salt).otherwise(F.array(F.lit(0))))
         )
         salted, repeated = salted.drop(HOT), repeated.drop(HOT)
-    return _join_on(salted, repeated, [*on, SALT], how, residual).drop(SALT).select(
+    return _join_on(salted, repeated.hint("merge"), [*on, SALT], how, residual).drop(SALT).select(
         *left.columns, *([] if how in ("left_semi", "left_anti") else [c for c in right.columns if c not in on])
     )
 

@@ -85,6 +85,15 @@ def test_hot_keys(skewed):
         hot_keys(skewed, ["key"], 0)
 
 
+@pytest.mark.parametrize("hot_share", [None, 0.2])
+def test_repeated_rows_are_never_broadcast(skewed, dimension, plan_of, hot_share):
+    """Their estimate leaves the repeats out, so a side below the threshold could fill the driver."""
+    salted = salted_join(skewed, dimension, ["key"], hot_share=hot_share)
+    assert rows(salted) == rows(skewed.join(dimension, ["key"]))
+    last = next(line for line in plan_of(salted).splitlines() if "Join" in line)
+    assert "SortMergeJoin" in last and "join_salt" in last
+
+
 def test_two_key_columns(spark):
     left = spark.createDataFrame([("a", "bc", 1), ("ab", "c", 2), (None, "c", 3)], "k1 string, k2 string, v int")
     right = spark.createDataFrame([("a", "bc", "x"), ("ab", "c", "y")], "k1 string, k2 string, w string")
