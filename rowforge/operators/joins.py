@@ -242,16 +242,10 @@ def band_join_avg(
 ) -> DataFrame:
     """Average right ``value`` over the band-join partners of each ``by`` group.
 
-    Unless the right side is small enough to be broadcast, its rows that agree on key and band are summed before the join, so a key
-    holding much of the data meets one row per distinct band value instead of
-    one per right row.
+    The right rows that agree on key and band are summed before the join, also where the right side could be
+    broadcast: a left row meets one row per distinct band value of its key, not one per right row.
     """
     needed = left.select(*dict.fromkeys([*by, *on, left_band]))
-    if _fits_broadcast(right):
-        few = right.select(*dict.fromkeys([*on, right_band, value]))
-        pairs = band_join(needed, few, on, left_band, right_band, width, salts=salts)
-        average = F.try_divide(F.sum(value).cast("double"), F.count(value))
-        return pairs.groupBy(*by).agg(average.alias(name))
     sums = right.groupBy(*on, right_band).agg(
         F.sum(value).alias("value_sum"), F.count(value).alias("value_count")
     )

@@ -142,6 +142,26 @@ def test_band_join_avg(spark, each_way):
     assert rows(averages) == [("p1", 50.0), ("p2", 60.0), ("p3", None)]
 
 
+def test_band_join_avg_sums_a_small_right_side_first(spark, plan_of):
+    """Each left row meets a band value of its key once, however many right rows share it."""
+    rng = random.Random(4)
+    lefts = [(i, rng.choice(["a", "b", None]), rng.choice([None, *range(6)])) for i in range(60)]
+    rights = [(rng.choice(["a", "b", None]), rng.choice([None, *range(6)]), rng.choice([None, *range(9)])) for _ in range(900)]
+    left, right = spark.createDataFrame(lefts, "id int, k string, lv int"), spark.createDataFrame(rights, "k string, rv int, v int")
+    averages = band_join_avg(left, right, ["id"], ["k"], "lv", "rv", 1, "v", "avg_v")
+    wanted = []
+    for i, k, lv in lefts:
+        met = [v for q, rv, v in rights if None not in (k, lv, rv) and q == k and abs(lv - rv) <= 1]
+        if met:
+            known = [v for v in met if v is not None]
+            wanted.append((i, sum(known) / len(known) if known else None))
+    assert rows(averages) == sorted(wanted, key=repr)
+    few = spark.range(900).selectExpr("id % 2 AS k", "id % 7 AS rv", "id AS v")
+    small = band_join_avg(spark.range(50).selectExpr("id", "id % 2 AS k", "id % 5 AS lv"), few, ["id"], ["k"], "lv", "rv", 1, "v", "avg_v")
+    plan = plan_of(small)
+    assert "BroadcastHashJoin" in plan and "value_sum" in plan.split("BroadcastExchange")[0]
+
+
 @pytest.mark.parametrize("each_way", ["shuffled"], indirect=True)
 def test_band_cells_follow_the_data(spark, plan_of, each_way):
     """One key with most rows, bunched in a tenth of its range; the rest of the keys are cut nowhere."""
