@@ -354,6 +354,24 @@ def test_footers_longer_than_the_articles_leave(spark):
     assert text == {**dict(enumerate(own)), 9: f"Read on Monday\n\n{own[3]}"}
 
 
+def test_pages_with_an_article_take_part_in_the_search_for_repeats(spark):
+    own = [" ".join(prose(200 + k, 40)) for k in range(9)]
+    line, plug, foot = " ".join(prose(300, 9)), " ".join(prose(301, 12)), " ".join(prose(302, 20))
+    page = lambda *inner: "<article>" + "".join(f"<p>{x}</p>" for x in inner) + f"</article><div>{foot}</div>"
+    # a plug in all articles leaves, a line in three of seven stays; no suffix of the page without an article repeats but the articles' rest
+    rows = [(k, "https://h.example/x", page(own[k], *([line] if k < 3 else []), plug)) for k in range(7)]
+    rows.append((7, "https://h.example/list", f"<div>{own[7]}</div><div>{foot}</div>"))
+    # copies of one article under six dates, and a plug in too few articles
+    rows += [(20 + k, "https://copies.example/", page(f"Day {k}", own[8], line)) for k in range(6)]
+    rows += [(30 + k, "https://few.example/", page(own[k], plug)) for k in range(4)]
+    rows += [(40 + k, "https://near.example/", page(f"{own[8]} {k}", line, own[7], plug)) for k in range(6)]
+    text = {r.page_id: r.text for r in html_text.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    wanted = {k: "\n\n".join([own[k], *([line] if k < 3 else [])]) for k in range(7)}
+    wanted |= {7: own[7]} | {20 + k: "\n\n".join([f"Day {k}", own[8], line]) for k in range(6)}
+    wanted |= {30 + k: f"{own[k]}\n\n{plug}" for k in range(4)} | {40 + k: "\n\n".join([f"{own[8]} {k}", line, own[7], plug]) for k in range(6)}
+    assert text == wanted
+
+
 def test_marked_names_leave_the_article():
     text = lambda page: " ".join(b for b, m in zip(*html_text.blocks(page), strict=True) if m)
     assert text('<div class="site-header">S</div><article><header class="entry-header"><h1>A</h1></header><div class="post-header"><h2>B</h2></div><p>C</article>') == "A B C"
