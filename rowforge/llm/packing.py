@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from rowforge.llm.shared import written
+from rowforge.llm.shared import sliced, written
 
 SALTS = 64
 PIECES = "doc_id long, piece int, start long, length long, ids binary"
@@ -132,11 +132,13 @@ def pieces(docs: DataFrame, tokenizer: str, size: int = 2048, end_id: int = 0, b
         encode = word_encoder(Tokenizer.from_file(tokenizer)) if by_words else whole_encoder(Tokenizer.from_file(tokenizer))
         for batch in batches:
             keys, texts = batch.column(0).to_pylist(), [x or "" for x in batch.column(1).to_pylist()]
-            for k in range(0, len(texts), 64):
+            k = 0
+            for run in sliced(texts):
                 out: list[tuple] = []
-                for key, found in zip(keys[k : k + 64], encode(texts[k : k + 64]), strict=True):
+                for key, found in zip(keys[k : k + len(run)], encode(run), strict=True):
                     ids = found + end
                     out += [(key, n, at, min(size, len(ids) // 4 - at), ids[4 * at : 4 * (at + size)]) for n, at in enumerate(range(0, len(ids) // 4, size))]
+                k += len(run)
                 kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary())
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)], ["doc_id", "piece", "start", "length", "ids"])
 

@@ -159,6 +159,21 @@ def test_pieces_round_trip(spark):
     assert found == {k: own.encode(t or "", add_special_tokens=False).ids + [0] for k, t in enumerate(texts)}
 
 
+def test_pieces_of_texts_in_several_runs(spark):
+    """Texts are encoded in runs of a bounded number of characters; each keeps its own ids."""
+    from rowforge.llm.queries import tokenizer_path
+
+    words = prose(3, 400)
+    texts = [" ".join(words[k:] * (1500 if k % 3 == 0 else 1)) for k in range(7)] + [None, "x" * 5]
+    found: dict[int, bytes] = {}
+    for r in sorted(packing.pieces(documents(spark, texts).coalesce(1), tokenizer_path(), 2048).collect()):
+        found[r.doc_id] = found.get(r.doc_id, b"") + r.ids
+    alone: dict[int, bytes] = {}
+    for r in sorted(packing.pieces(documents(spark, texts).repartition(9, "doc_id"), tokenizer_path(), 2048, by_words=False).collect()):
+        alone[r.doc_id] = alone.get(r.doc_id, b"") + r.ids
+    assert sum(len(t or "") for t in texts) > 3 << 20 and found == alone and len(found) == 9
+
+
 # line dedup
 
 
