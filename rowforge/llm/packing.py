@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from rowforge.llm.shared import sliced, written
+from rowforge.llm.shared import parts, sliced, written
 
 SALTS = 64
 PIECES = "doc_id long, piece int, start long, length long, ids binary"
@@ -130,7 +130,7 @@ def pieces(docs: DataFrame, tokenizer: str, size: int = 2048, end_id: int = 0, b
 
         end = np.array([end_id], "<u4").tobytes()
         encode = word_encoder(Tokenizer.from_file(tokenizer)) if by_words else whole_encoder(Tokenizer.from_file(tokenizer))
-        for batch in batches:
+        for batch in parts(batches):
             keys, texts = batch.column(0).to_pylist(), [x or "" for x in batch.column(1).to_pylist()]
             k = 0
             for run in sliced(texts):

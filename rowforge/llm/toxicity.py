@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rowforge.llm.shared import discard, fold, hash_share, sliced, written
+from rowforge.llm.shared import discard, fold, hash_share, parts, sliced, written
 
 # The letters that each mark may stand for.
 LEET = {"0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g",
@@ -50,6 +50,8 @@ class CharModel:
         """Negative log probability of c after a and b."""
         key = a + b + c
         if (found := self.memo.get(key)) is None:
+            if len(self.memo) >= 200_000:
+                self.memo.clear()
             x, y, z = map(ord, key)
             three = self.tri[((x * _A + y * _B + z * _C) & 0xFFFFFFFF) >> (32 - TRI_BITS)]
             two = self.bi[((x * _A + y * _B) & 0xFFFFFFFF) >> (32 - BI_BITS)]
@@ -62,7 +64,7 @@ def count_characters(docs: DataFrame, text: str = "text") -> CharModel:
 
     def counts(batches):
         tri, bi = np.zeros(1 << TRI_BITS, np.int64), np.zeros(1 << BI_BITS, np.int64)
-        for batch in batches:
+        for batch in parts(batches):
             for run in sliced([x for x in batch.column(0).to_pylist() if x]):
                 codes = np.frombuffer(("  ".join(run) + "  ").lower().encode("utf-32-le", "surrogatepass"), np.uint32)
                 for k in range(0, len(codes), 1 << 20):
@@ -181,11 +183,9 @@ def _features(sample: DataFrame, chars: CharModel) -> DataFrame:
 
     def read(batches):
         reader = Reader(chars)
-        for batch in batches:
-            for k in range(0, batch.num_rows, 256):
-                part = batch.slice(k, 256)
-                found = [sorted(reader.features(text.as_py())) for text in part.column(0)]
-                yield pa.RecordBatch.from_arrays([pa.array(found, pa.list_(pa.string())), part.column(1)], ["features", "toxic"])
+        for part in parts(batches, 256):
+            found = [sorted(reader.features(text.as_py())) for text in part.column(0)]
+            yield pa.RecordBatch.from_arrays([pa.array(found, pa.list_(pa.string())), part.column(1)], ["features", "toxic"])
 
     kind = sample.schema["toxic"].dataType.simpleString()
     return written(sample.select("text", "toxic").mapInArrow(read, f"features array<string>, toxic {kind}"), "toxic-features")
@@ -249,7 +249,7 @@ def score(docs: DataFrame, model: ToxicityModel) -> DataFrame:
         tri, bi, lexicon, base = sent.value
         m = ToxicityModel(CharModel(tri, bi), lexicon, base)
         reader = Reader(m.chars, m.lexicon)
-        for batch in batches:
+        for batch in parts(batches):
             out = [m.score(reader.features(x)) for x in batch.column(batch.schema.get_field_index("text")).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.float64()), pa.array([int(x >= 0.5) for x in out], pa.int32())], [*batch.schema.names, "toxic_score", "toxic_pred"])
 
