@@ -23,9 +23,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rowforge.llm.shared import written
+from rowforge.llm.shared import parts, written
 
 VOCABULARY, RANK, EXTRA, PASSAGE = 1 << 15, 64, 8, 32
+RUN, BLOCK = 16_000, 16  # words of texts multiplied or searched together, and of a block of their sums
+OFTEN = 12  # times in one run, from which on a word's passages are summed by a matrix product
 PLACES = 2048  # of the words of an item, for the bound on its candidates
 WORD = re.compile(r"\w+")
 WINDOWS = (4, 6, 9, 13, 18, 26, 38, 55, 80, 120, 180, 270, 400)  # and on by half, up to the longest item
@@ -35,18 +37,20 @@ def _hashes(batches):
     """doc_id and the 32-bit hashes of the words of each text."""
     import xxhash
 
-    seen: dict[str, int] = {}
-    for batch in batches:
+    class Seen(dict):
+        def __missing__(self, w: str) -> int:
+            found = self[w] = xxhash.xxh32_intdigest(w.encode("utf-8", "surrogatepass"))
+            return found
+
+    seen = Seen()
+    for part in parts(batches):
         out = []
-        for text in batch.column(1).to_pylist():
-            words = WORD.findall(text.lower()) if text else []
-            if len(seen) > 300_000:
+        for text in part.column(1):
+            words = WORD.findall((text.as_py() or "").lower())
+            if len(seen) > 150_000:
                 seen.clear()
-            for w in set(words):
-                if w not in seen:
-                    seen[w] = xxhash.xxh32_intdigest(w.encode("utf-8", "surrogatepass"))
             out.append(np.fromiter(map(seen.__getitem__, words), np.uint32, len(words)).tobytes())
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], ["id", "words"])
+        yield pa.RecordBatch.from_arrays([part.column(0), pa.array(out, pa.binary())], ["id", "words"])
 
 
 def streams(frame: DataFrame, key: str) -> DataFrame:
@@ -54,9 +58,9 @@ def streams(frame: DataFrame, key: str) -> DataFrame:
 
 
 def _arrays(batch):
-    for raw in batch.column(0).to_pylist():
-        if raw:
-            yield np.frombuffer(raw, np.uint32)
+    for raw in batch.column(0):
+        if words := raw.as_py():
+            yield np.frombuffer(words, np.uint32)
 
 
 def weights(words: DataFrame) -> np.ndarray:
@@ -79,40 +83,72 @@ def weights(words: DataFrame) -> np.ndarray:
 
 
 def _passages(batch, scale, basis):
-    """Hashed words of a batch, the passage of each, passage norms, and unit TF-IDF passages times the basis, whose rows come weighted."""
+    """Hashed words of a batch, the passage of each, passage norms, and unit TF-IDF passages times the basis, whose rows come weighted.
+
+    ``scale`` and ``basis`` end with a row of zeros, for no word.
+    """
     run = []
     size = 0
     for ids in [*_arrays(batch), None]:
         if ids is not None:
             run.append((ids % VOCABULARY).astype(np.uint16))
             size += len(ids)
-        if run and (ids is None or size > 100_000):
+        if run and (ids is None or size > RUN):
             words = np.concatenate(run)
             lengths = np.array([len(x) for x in run])
-            starts = np.concatenate([np.arange(0, n, PASSAGE) + at for n, at in zip(lengths, np.cumsum(lengths) - lengths, strict=True)])
-            owner = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(words))))
-            w = scale[words]
-            norm = 1.0 / np.sqrt(np.maximum(np.add.reduceat(w * w, starts), 1e-6))
-            yield words, owner, norm.astype(np.float32), np.add.reduceat(basis[words], starts, axis=0) * norm.astype(np.float32)[:, None]
+            spans = -(-lengths // PASSAGE)
+            # each text from the first place of a passage on; the places left over hold no word
+            place = np.arange(len(words)) + np.repeat(PASSAGE * (np.cumsum(spans) - spans) - (np.cumsum(lengths) - lengths), lengths)
+            laid = np.full(PASSAGE * spans.sum(), VOCABULARY, np.int64)
+            laid[place] = words
+            laid = laid.reshape(-1, PASSAGE)
+            norm = (1.0 / np.sqrt(np.maximum(np.square(scale[laid]).sum(axis=1), 1e-6))).astype(np.float32)
+            y = np.concatenate([basis.take(laid[k : k + 64], axis=0).sum(axis=1) for k in range(0, len(laid), 64)])
+            yield words, place // PASSAGE, norm, y * norm[:, None]
             run, size = [], 0
 
 
+def _add_passages(total, ids, owner, y):
+    """Add to the row of each word the vectors of the passages that hold it, once for each time."""
+    times = np.bincount(ids, minlength=len(total))
+    often = np.flatnonzero(times > OFTEN)
+    rank = np.full(len(total), -1, np.int64)
+    rank[often] = np.arange(len(often))
+    at = rank[ids]
+    if len(often):
+        for k in range(0, len(y), 512):
+            lo, hi = np.searchsorted(owner, (k, k + 512))
+            here = at[lo:hi] >= 0
+            rows = len(y[k : k + 512])
+            held = np.bincount((owner[lo:hi][here] - k) * len(often) + at[lo:hi][here], minlength=rows * len(often)).reshape(rows, -1)
+            total[often] += held.astype(np.float32).T @ y[k : k + 512]
+    rare = np.flatnonzero(at < 0)
+    rare = rare[np.argsort(ids[rare], kind="stable")]
+    first = np.flatnonzero(np.diff(ids[rare].astype(np.int32), prepend=-1))
+    count = np.diff(np.append(first, len(rare)))
+    while len(first):
+        # no word twice in a round
+        total[ids[rare[first]]] += y.take(owner[rare[first]], axis=0)
+        more = count > 1
+        first, count = first[more] + 1, count[more] - 1
+
+
 def latent(words: DataFrame, scale: np.ndarray) -> np.ndarray:
     """Whitened latent vector of each hashed word, by two passes over all passages."""
     spark = words.sparkSession
     width = RANK + EXTRA
     start = np.random.default_rng(3).standard_normal((VOCABULARY, width)).astype(np.float32)
-    sent = spark.sparkContext.broadcast((scale, start * scale[:, None]))
+    none = np.zeros((1, width), np.float32)
+    padded = np.append(scale, np.float32(0))
+    sent = spark.sparkContext.broadcast((padded, np.concatenate([start * scale[:, None], none])))
 
     def spread(batches):
         scale, basis = sent.value
-        total = np.zeros((VOCABULARY, width), np.float32)
+        total = np.zeros((VOCABULARY, width))
         for batch in batches:
             for ids, owner, norm, y in _passages(batch, scale, basis):
-                order = np.argsort(ids, kind="stable")
-                first = np.flatnonzero(np.diff(ids[order].astype(np.int32), prepend=-1))
-                total[ids[order][first]] += np.add.reduceat((y * norm[:, None])[owner[order]], first, axis=0)
-        total *= scale[:, None]
+                _add_passages(total, ids, owner, y * norm[:, None])
+        total = (total * scale[:-1, None]).astype(np.float32)
         at = np.flatnonzero(total.any(axis=1))
         yield pa.RecordBatch.from_arrays([pa.array(at), *(pa.array(total[at, k]) for k in range(width))], ["at", *(f"c{k}" for k in range(width))])
 
@@ -121,7 +157,7 @@ def latent(words: DataFrame, scale: np.ndarray) -> np.ndarray:
     z = np.zeros((VOCABULARY, width))
     z[sums.column("at").to_numpy()] = np.column_stack([sums.column(f"c{k}").to_numpy() for k in range(width)]) if sums.num_rows else 0
     q = np.linalg.qr(z)[0].astype(np.float32)
-    held = spark.sparkContext.broadcast((scale, q * scale[:, None]))
+    held = spark.sparkContext.broadcast((padded, np.concatenate([q * scale[:, None], none])))
 
     def rotate(batches):
         scale, basis = held.value
@@ -156,10 +192,14 @@ def common_in_order(item: list[int], window: list[int]) -> int:
 
 def matches(item: list[int], window: list[int], least: float, answer: int) -> float:
     """Share of the item held in order, or 0 if that is no leak."""
+    # no more words can be held in order than occur at all
+    there = set(window)
+    held, tail = sum(map(there.__contains__, item)) / len(item), item[-answer:]
+    if held < least and (held < 0.5 or not there.issuperset(tail)):
+        return 0.0
     share = common_in_order(item, window) / len(item)
     if share >= least:
         return share
-    tail = item[-answer:]
     if share >= 0.5 and len(item) > 2 * answer and any(window[k : k + answer] == tail for k in range(len(window) - answer + 1)):
         return share
     return 0.0
@@ -254,18 +294,95 @@ def leaks(docs: DataFrame, benchmark: DataFrame, *, cosine: float = 0.5, least:
                             kept = holds[item[:, None], near[at[:, None] + around]].sum(axis=1) >= need[item]
                             yield from zip(item[kept].tolist(), (at[kept] + lo).tolist(), [size] * int(kept.sum()), strict=True)
 
+            padded = np.concatenate([latent_of, np.zeros((1, RANK), np.float32)])
+            held_places = holds.ravel().view(np.uint8)
+            gap = max((wide + wide // 2 + 1 for _, _, wide in marks.values()), default=1)
+            likely = np.zeros(1 << 16, bool)
+            likely[(endings & np.uint64(0xFFFF)).astype(np.int64)] = True
+
+            def together(texts: list[np.ndarray]):
+                """Text, item, place and size of the candidates of many texts: as ``candidates`` finds them, but with all texts in one array."""
+                flat, size_of = np.concatenate(texts), np.array([len(x) for x in texts])
+                begin = np.cumsum(size_of) - size_of
+                runs = tail_hashes(flat, answer)
+                hits = np.flatnonzero(likely[(runs & np.uint64(0xFFFF)).astype(np.int64)])
+                hits = hits[np.isin(runs[hits], endings)]
+                holder = np.searchsorted(begin, hits, side="right") - 1
+                alone = size_of > 20_000
+                alone[holder[hits + answer <= (begin + size_of)[holder]]] = True
+                for t in np.flatnonzero(alone).tolist():
+                    for n, at, size in candidates(texts[t]):
+                        yield t, n, at, size
+                if alone.any():
+                    texts = [x for x, out in zip(texts, alone.tolist(), strict=True) if not out]
+                    if not texts:
+                        return
+                    flat, size_of = np.concatenate(texts), size_of[~alone]
+                    begin = np.cumsum(size_of) - size_of
+                number = np.flatnonzero(~alone)
+                need = np.ceil(least * lengths - 1e-9)
+                # sums of the vectors before each word and after the last one: within blocks, then over the blocks of a text
+                blocks = -(-(size_of + 1) // BLOCK)
+                row0 = BLOCK * (np.cumsum(blocks) - blocks)
+                laid = np.full(BLOCK * blocks.sum(), VOCABULARY)
+                laid[np.arange(len(flat)) + np.repeat(row0 + 1 - begin, size_of)] = flat % VOCABULARY
+                inner = padded.take(laid, axis=0).reshape(-1, BLOCK, RANK)
+                for k in range(1, BLOCK):
+                    inner[:, k] += inner[:, k - 1]
+                before = np.cumsum(inner[:, -1], axis=0, dtype=np.float64) - inner[:, -1]
+                before -= np.repeat(before[row0 // BLOCK], blocks, axis=0)
+                inner += before.astype(np.float32)[:, None]
+                sums = inner.reshape(-1, RANK)
+                # the places of the words, with room for the widest window around each text
+                at0 = begin + gap * np.arange(1, len(size_of) + 1)
+                near = np.full(len(flat) + gap * (len(size_of) + 1), PLACES, np.int32)
+                near[np.arange(len(flat)) + np.repeat(at0 - begin, size_of)] = flat % PLACES
+                for size, (mark, own, wide) in marks.items():
+                    step = max(1, size // 4)
+                    count = -(-np.maximum(1, size_of - size + step) // step)
+                    owner = np.repeat(np.arange(len(size_of)), count)
+                    starts = step * (np.arange(len(owner)) - np.repeat(np.cumsum(count) - count, count))
+                    starts = np.minimum(starts, np.maximum(0, size_of - size)[owner])
+                    around = np.arange(-(wide // 2), wide + wide // 2 + 1)
+                    many = max(1, min(10_000, 1_000_000 // len(around)))
+                    rows = max(1, min(8192, 2_000_000 // len(own)))
+                    for j in range(0, len(owner), rows):
+                        who, start = owner[j : j + rows], starts[j : j + rows]
+                        window = sums.take(row0[who] + np.minimum(start + size, size_of[who]), axis=0)
+                        window -= sums.take(row0[who] + start, axis=0)
+                        norm = np.sqrt(np.einsum("ij,ij->i", window, window))
+                        s, n = np.divmod(np.flatnonzero(window @ mark >= cosine * np.maximum(norm, 1e-9)[:, None]), len(own))
+                        for k in range(0, len(s), many):
+                            w, item = s[k : k + many], own[n[k : k + many]]
+                            places = near.take((at0[who[w]] + start[w])[:, None] + around) + (item * (PLACES + 1))[:, None]
+                            kept = np.add.reduce(held_places.take(places), axis=1, dtype=np.int32) >= need[item]
+                            yield from zip(number[who[w[kept]]].tolist(), item[kept].tolist(), start[w[kept]].tolist(), [size] * int(kept.sum()), strict=True)
+
+            def texts_of(batch):
+                """Keys and words of texts that hold words, about ``RUN`` words at a time."""
+                keys, texts, size = [], [], 0
+                for key, raw in zip(batch.column(0), batch.column(1), strict=True):
+                    if ids := raw.as_py():
+                        keys.append(key.as_py())
+                        texts.append(np.frombuffer(ids, np.uint32))
+                        size += len(texts[-1])
+                    if size >= RUN:
+                        yield keys, texts
+                        keys, texts, size = [], [], 0
+                if texts:
+                    yield keys, texts
+
             for batch in batches:
                 rows = []
-                for key, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                    ids = np.frombuffer(raw, np.uint32)
-                    best: dict[int, float] = {}
-                    for n, at, size in candidates(ids) if len(ids) and marks else ():
-                        if best.get(n, 0.0) < 1.0:
+                for keys, texts in texts_of(batch) if marks else ():
+                    best: dict[tuple[int, int], float] = {}
+                    for t, n, at, size in together(texts):
+                        if best.get((t, n), 0.0) < 1.0:
                             wide = max(size, len(lists[n]))
-                            share = matches(lists[n], ids[max(0, at - wide // 2) : at + wide + wide // 2].tolist(), least, answer)
+                            share = matches(lists[n], texts[t][max(0, at - wide // 2) : at + wide + wide // 2].tolist(), least, answer)
                             if share:
-                                best[n] = max(best.get(n, 0.0), share)
-                    rows += [(key, known[n][0], share) for n, share in sorted(best.items())]
+                                best[t, n] = max(best.get((t, n), 0.0), share)
+                    rows += [(keys[t], known[n][0], share) for (t, n), share in sorted(best.items())]
                 if rows:
                     a, b, c = zip(*rows, strict=True)
                     yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(c, pa.float64())], ["doc_id", "item_id", "share"])

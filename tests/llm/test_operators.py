@@ -305,6 +305,40 @@ def test_common_subsequence_by_dynamic_programme():
         assert decontaminate.common_in_order(a, b) == t[12, 15]
 
 
+def test_windows_without_the_words_are_not_aligned(monkeypatch):
+    item = list(range(20))
+    assert decontaminate.matches(item, item, 0.75, 5) == 1.0
+    assert decontaminate.matches(item, [*range(5, 10), 99, *range(10, 20)], 0.75, 5) == 0.75
+    assert decontaminate.matches(item, [*range(10, 20), 99], 0.75, 5) == 0.5
+
+    def never(item, window):
+        raise AssertionError("aligned")
+
+    monkeypatch.setattr(decontaminate, "common_in_order", never)
+    # half of the words without the answer, and the answer without half of the words, many times each
+    assert decontaminate.matches(item, list(range(10)) * 4, 0.75, 5) == 0.0
+    assert decontaminate.matches(item, list(range(15, 20)) * 8, 0.75, 5) == 0.0
+
+
+def test_sums_over_passages_are_those_word_by_word():
+    rng = np.random.default_rng(4)
+    ids = np.minimum(rng.zipf(1.4, 3000), 400).astype(np.uint16)
+    owner, y = np.sort(rng.integers(0, 1100, 3000)), rng.standard_normal((1100, 3)).astype(np.float32)
+    total, plain = np.zeros((401, 3)), np.zeros((401, 3))
+    decontaminate._add_passages(total, ids, owner, y)
+    np.add.at(plain, ids, y[owner])
+    assert np.allclose(total, plain, atol=1e-3)
+
+
+def test_items_are_found_in_every_text_of_a_run(spark):
+    items = [prose(s, 30) for s in (70, 71)]
+    # short, empty and long texts side by side; the item at the beginning, at the end, and cut between two texts
+    texts = [" ".join(x) for x in (items[0], prose(72, 3), [], items[1] + prose(73, 900), prose(74, 21_000) + items[0], prose(75, 200) + items[1][:16], items[1][16:] + prose(76, 200))]
+    bench = spark.createDataFrame([(k, " ".join(x)) for k, x in enumerate(items)], "item_id long, text string")
+    found = {(r.doc_id, r.item_id) for r in decontaminate.leaks(documents(spark, texts).coalesce(1), bench).collect()}
+    assert found == {(0, 0), (3, 1), (4, 0)}
+
+
 # nearest neighbours
 
 
@@ -645,3 +679,37 @@ def test_workers_need_no_copy_of_the_package(tmp_path):
     root = str(Path(__file__).resolve().parents[2])
     ended = subprocess.run([sys.executable, "-c", APART.format(root=root)], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
     assert "RESULT 200 40" in ended.stdout, ended.stderr[-3000:]
+
+
+def test_operators_hold_few_texts_of_a_large_batch(spark):
+    """What is made of one Arrow batch of all texts comes back in small batches."""
+    import pyarrow as pa
+
+    class Rows:
+        """Stands for a frame and its session; the function of a pass is taken from it."""
+
+        def __init__(self):
+            self.columns, self.sparkSession, self.sparkContext = ["doc_id", "text"], self, self
+            self.schema = documents(spark, []).select("doc_id", "text").schema
+
+        def select(self, *columns):
+            return self
+
+        def broadcast(self, value):
+            return type("Sent", (), {"value": value})
+
+        def mapInArrow(self, function, schema):  # noqa: N802
+            return function
+
+    batch = pa.RecordBatch.from_arrays([pa.array(range(5000), pa.int64()), pa.array(["a bad word"] * 5000)], ["doc_id", "text"])
+    model = toxicity.ToxicityModel(toxicity.CharModel(np.ones(1 << toxicity.TRI_BITS, np.int64), np.ones(1 << toxicity.BI_BITS, np.int64)), {"bad": 0.9}, 0.1)
+    for function in (toxicity.score(Rows(), model), decontaminate._hashes):
+        out = list(function(iter([batch])))
+        assert sum(b.num_rows for b in out) == 5000 and max(b.num_rows for b in out) <= 1024
+    assert [x for b in toxicity.score(Rows(), model)(iter([batch])) for x in b.column(3).to_pylist()] == [1] * 5000
+
+
+def test_the_character_model_remembers_a_bounded_number_of_costs():
+    model = toxicity.CharModel(np.ones(1 << toxicity.TRI_BITS, np.int64), np.ones(1 << toxicity.BI_BITS, np.int64))
+    costs = [model.cost("a", chr(0x4E00 + k % 500), chr(0x4E00 + k // 500)) for k in range(201_000)]
+    assert len(model.memo) <= 200_000 and costs[0] == model.cost("a", chr(0x4E00), chr(0x4E00))
